@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from math import isfinite
 from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,49 +17,75 @@ MARGIN = 5 / ACCURACY
 PARTS = 1_000
 
 
-def percentiles(df: DataFrame, column: str, fractions: Sequence[float]) -> DataFrame:
-    """One row ``p0, p1, ...``: percentiles with linear interpolation, nulls ignored, exact.
+def percentiles(df: DataFrame, column: str, fractions: Sequence[float]) -> list[float | None]:
+    """Percentiles with linear interpolation, nulls ignored, exact; null for a column without values.
 
-    Spark's ``percentile`` keeps every distinct value in one task. Here a fixed-size sketch first brackets
-    each percentile. One more scan then counts: rows outside the brackets fold into one counter per gap,
-    rows inside are counted by value, split over many small parts. The running total of the parts, a few
-    thousand rows at most, tells which parts hold the wanted positions, and only those are sorted.
+    Runs at once, like ``approxQuantile``, and returns one number per fraction. Spark's own exact
+    ``percentile`` keeps every distinct value in one task; here two scans of the one column do:
+
+    1. A sketch of fixed size brackets each percentile.
+    2. Rows outside the brackets fold into one counter per gap; rows inside are counted by value, split over
+       many parts. The running total over the parts, a few thousand rows at most whatever the data, tells
+       which parts hold the wanted positions, and only those are sorted.
     """
-    wanted = sorted(set(float(p) for p in fractions))
+    wanted = sorted({float(p) for p in fractions})
     values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
-    spots = range(len(wanted))
+    brackets = _brackets(values, wanted)
+    if not brackets:
+        return [None for _ in fractions]
+    counts = _count_cells(values, brackets)
+    found = _pick(counts, wanted).first()
+    if any(value is None for value in found):
+        raise RuntimeError(f"the sketch of {column} missed a percentile of {wanted}")
+    return [found[wanted.index(float(p))] for p in fractions]
+
 
+def _brackets(values: DataFrame, wanted: Sequence[float]) -> list[tuple[float, float]]:
+    """A range of values around each percentile that is sure to hold it."""
     edges = [max(p - MARGIN, 0.0) for p in wanted] + [min(p + MARGIN, 1.0) for p in wanted]
     sketch = values.agg(
-        F.percentile_approx("v", edges, ACCURACY).alias("at"), F.min("v").alias("low"), F.max("v").alias("high")
-    )
-    bounds = sketch.select(
-        F.struct(
-            *[_edge(p, i, p - MARGIN <= 0, "low").alias(f"lo{i}") for i, p in enumerate(wanted)],
-            *[_edge(p, len(wanted) + i, p + MARGIN >= 1, "high").alias(f"hi{i}") for i, p in enumerate(wanted)],
-        )
-    )
-    marked = values.withColumn("b", bounds.scalar())
-
-    # Brackets are sorted and may overlap. Counting those opened and those closed before a value numbers
-    # the cells of the axis in value order, and a value is inside a bracket while more are open.
-    opened = reduce(add, [(F.col("v") >= F.col(f"b.lo{i}")).cast("int") for i in spots])
-    closed = reduce(add, [(F.col("v") > F.col(f"b.hi{i}")).cast("int") for i in spots])
-    inside = opened > closed
-    start = F.element_at(F.array(*[F.col(f"b.lo{i}") for i in spots]), F.least(closed + 1, F.lit(len(wanted))))
-    end = F.element_at(F.array(*[F.col(f"b.hi{i}") for i in spots]), F.greatest(opened, F.lit(1)))
-    width = F.when(end > start, (F.col("v") - start) / (end - start) * PARTS).otherwise(F.lit(0.0))
-    counts = (
-        marked.select(
-            (opened + closed).alias("cell"),
-            F.when(inside, F.least(F.floor(width), F.lit(PARTS))).otherwise(F.lit(0)).cast("int").alias("part"),
-            F.when(inside, F.col("v")).alias("v"),
+        F.percentile_approx("v", edges, ACCURACY).alias("at"),
+        F.min("v").alias("low"),
+        F.max("v").alias("high"),
+        F.count("v").alias("total"),
+    ).first()
+    if not sketch.total:
+        return []
+    # With so few rows that neighbours lie further apart than the margin, the bracket is everything.
+    few = sketch.total < ACCURACY
+    return [
+        (
+            sketch.low if few or p <= MARGIN else sketch["at"][i],
+            sketch.high if few or p >= 1 - MARGIN else sketch["at"][len(wanted) + i],
         )
+        for i, p in enumerate(wanted)
+    ]
+
+
+def _count_cells(values: DataFrame, brackets: Sequence[tuple[float, float]]) -> DataFrame:
+    """``cell, part, v, n``: the axis cut into cells and parts in value order, with ``v`` only inside brackets.
+
+    Brackets are sorted and may overlap. The number opened plus the number closed before a value numbers the
+    cells, and a value lies inside a bracket while more are open than closed.
+    """
+    v = F.col("v")
+    opened = reduce(add, [(v >= lo).cast("int") for lo, _ in brackets])
+    closed = reduce(add, [(v > hi).cast("int") for _, hi in brackets])
+    part = F.lit(0)
+    for lo, hi in brackets:
+        if hi > lo and isfinite(hi - lo):
+            within = F.least(F.floor((v - lo) / (hi - lo) * PARTS), F.lit(PARTS)).cast("int")
+            # Any split that keeps the order will do; the last bracket that covers a cell decides for it.
+            part = F.when((v >= lo) & (v <= hi), within).otherwise(part)
+    return (
+        values.select((opened + closed).alias("cell"), part.alias("part"), F.when(opened > closed, v).alias("v"))
         .groupBy("cell", "part", "v")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
-    # At most (PARTS + 1) x brackets + gaps rows from here on, until the wanted parts are looked up.
+
+def _pick(counts: DataFrame, wanted: Sequence[float]) -> DataFrame:
+    """One row with the interpolated value at each wanted fraction."""
     everything = Window.orderBy("cell", "part")
     parts = (
         counts.groupBy("cell", "part")
@@ -71,41 +98,35 @@ def percentiles(df: DataFrame, column: str, fractions: Sequence[float]) -> DataF
             F.sum("n").over(Window.partitionBy()).alias("total"),
         )
     )
-    position = [F.lit(p) * (F.col("total") - 1) for p in wanted]
-    ranks = [rank for spot in position for rank in (F.floor(spot), F.ceil(spot))]
-    holding = parts.where(
-        reduce(Column.__or__, [(F.col("first") <= r) & (r < F.col("next")) for r in ranks])
-    )
-    within = Window.partitionBy("cell", "part").orderBy("v")
+    spots = [F.lit(p) * (F.col("total") - 1) for p in wanted]
+    ranks = [rank for spot in spots for rank in (F.floor(spot), F.ceil(spot))]
+    holding = parts.where(reduce(Column.__or__, [(F.col("first") <= r) & (r < F.col("next")) for r in ranks]))
+    by_value = Window.partitionBy("cell", "part").orderBy("v")
     run = (
         # At most two parts per percentile.
         counts.join(F.broadcast(holding.drop("next")), ["cell", "part"])
-        .withColumn("next", F.col("first") + F.sum("n").over(within))
+        .withColumn("next", F.col("first") + F.sum("n").over(by_value))
         .withColumn("start", F.col("next") - F.col("n"))
     )
-    picked = run.agg(
-        F.max("total").alias("total"),
-        *[F.max(F.when((F.col("start") <= r) & (r < F.col("next")), F.struct("v"))).alias(f"r{i}") for i, r in enumerate(ranks)],
-    )
-    result = []
-    for p in fractions:
-        i = wanted.index(float(p))
-        below, above = F.col(f"r{2 * i}.v"), F.col(f"r{2 * i + 1}.v")
-        share = position[i] - F.floor(position[i])
-        result.append((below + share * (above - below)).alias(f"p{len(result)}"))
-    return picked.select(*result)
+    at_rank = [
+        F.max(F.when((F.col("start") <= r) & (r < F.col("next")), F.col("v"))).alias(f"r{i}") for i, r in enumerate(ranks)
+    ]
+    picked = run.agg(F.max("total").alias("total"), *at_rank)
 
+    def interpolated(i: int) -> Column:
+        below, above = F.col(f"r{2 * i}"), F.col(f"r{2 * i + 1}")
+        return below + (spots[i] - F.floor(spots[i])) * (above - below)
 
-def _edge(fraction: float, index: int, at_end: bool, end: str) -> Column:
-    return F.col(end) if at_end else F.col("at")[index]
+    return picked.select(*[interpolated(i).alias(f"p{i}") for i in range(len(wanted))])
 
 
 def trim(df: DataFrame, column: str, low: float = 0.05, high: float = 0.95) -> DataFrame:
     """Rows whose value lies between two percentiles of the column, both included; nulls go.
 
-    The bounds enter the filter as one-row subqueries, so the rows are filtered by the scan itself,
-    without a join.
+    The bounds are plain numbers in the filter, so they reach the file scan. The frame is read three
+    times: write it first if it is costly to compute.
     """
-    bounds = percentiles(df, column, [low, high]).select(F.struct("p0", "p1"))
-    marked = df.where(F.col(column).isNotNull()).withColumn("_bounds", bounds.scalar())
-    return marked.where(F.col(column).between(F.col("_bounds.p0"), F.col("_bounds.p1"))).drop("_bounds")
+    lowest, highest = percentiles(df, column, [low, high])
+    if lowest is None:
+        return df.where(F.lit(False))
+    return df.where(F.col(column).between(lowest, highest))
