@@ -11,6 +11,17 @@ from pyspark.sql import functions as F
 DAY_FIRST = "d-M-yyyy H:m"
 
 
+def moment(value: date | datetime | None) -> Column:
+    """A constant date or zone-less timestamp.
+
+    A timestamp goes through its text: a plain literal would be an instant, read in the time zone of the
+    driver's machine, and comparing a zone-less column with an instant is not pushed to the file scan.
+    """
+    if isinstance(value, datetime) or value is None:
+        return F.lit(None if value is None else value.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(value)
+
+
 def day_first_date(text: Column, strict: bool = True) -> Column:
     """``08-12-2018 09:30`` or ``8-12-2018 9:30`` to 8 December 2018."""
     return F.to_date(text, DAY_FIRST) if strict else F.try_to_date(text, DAY_FIRST)

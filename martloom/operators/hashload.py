@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.hashing import row_hash
-from martloom.functions.times import lookback_start
+from martloom.functions.times import lookback_start, moment
 from martloom.operators.merge import touch
 
 # Fixed value: how many days before the watermark are read again.
@@ -24,12 +24,12 @@ def hashed(df: DataFrame, columns: Sequence[str], not_null: Sequence[str]) -> Da
 
 def full_rows(df: DataFrame, columns: Sequence[str], not_null: Sequence[str], run_ts: datetime) -> DataFrame:
     """The whole target, as a full refresh writes it."""
-    return hashed(df, columns, not_null).withColumn("load_dttm", F.lit(run_ts).cast("timestamp_ntz"))
+    return hashed(df, columns, not_null).withColumn("load_dttm", moment(run_ts))
 
 
 def window_rows(df: DataFrame, day: str, watermark: date | None, days: int = LOOKBACK_DAYS) -> DataFrame:
     """Rows an incremental load looks at: from the lookback on, or all when there is no watermark."""
-    return df if watermark is None else df.where(F.col(day) >= F.lit(lookback_start(watermark, days)))
+    return df if watermark is None else df.where(F.col(day) >= moment(lookback_start(watermark, days)))
 
 
 def incremental_rows(

@@ -8,6 +8,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martloom.functions.times import moment
+
 ACTION = "_action"
 
 
@@ -32,7 +34,7 @@ def upsert(
     on = [F.col(k) == F.col(f"_u_{k}") for k in keys]
     joined = old.join(fresh, on, "full_outer")
     inserted, arrived = F.col("_old").isNull(), F.col("_new").isNotNull()
-    stamp = F.lit(run_ts).cast("timestamp_ntz")
+    stamp = moment(run_ts)
 
     def value(c: str) -> Column:
         if c in keys:
@@ -72,7 +74,7 @@ def touch(target: DataFrame, rows: DataFrame, key: str, stamp: str, run_ts: date
     With the content fixed by the key, the newest stamp per row is all there is to decide, so this is one
     pre-aggregated shuffle and no join.
     """
-    arrived = rows.withColumn(stamp, F.lit(run_ts).cast("timestamp_ntz")).select(*target.columns)
+    arrived = rows.withColumn(stamp, moment(run_ts)).select(*target.columns)
     content = [c for c in target.columns if c not in (key, stamp)]
     newest = target.unionByName(arrived).groupBy(key, *content).agg(F.max(stamp).alias(stamp))
     return newest.select(*target.columns)

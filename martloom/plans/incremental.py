@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from martloom.functions.times import moment
 from martloom.operators.latest import fold_latest
 from martloom.operators.merge import ACTION, replace_children, split_rejects, upsert
 from martloom.operators.quality import all_checks, check, check_batch_size, check_parent, check_unique, gate, not_null
@@ -72,7 +73,7 @@ def merge(wh: Warehouse, source: Source, batch_id: str, run_ts: datetime) -> Mer
     if source.accepted is not None:
         rows, rejected = split_rejects(rows, source.accepted())
     def write_child(child: Child) -> None:
-        stamped = child.rows(changed).withColumn("loaded_at", F.lit(run_ts).cast("timestamp_ntz"))
+        stamped = child.rows(changed).withColumn("loaded_at", moment(run_ts))
         children = replace_children(now.read(child.table, child.schema, slices), changed, stamped, key)
         wh.write_version(children, child.table, version, slice_of)
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.functions.documents import to_document
+from martloom.functions.times import moment
 from martloom.operators.latest import latest_version, newest_first
 from martloom.operators.merge import insert_ignore, replace_children, split_rejects, upsert
 from martloom.plans import warehouse
@@ -20,8 +21,8 @@ SPLIT = "TIMESTAMP '1998-01-01 00:00:00'"
 OVERLAP = "TIMESTAMP '1997-01-01 00:00:00'"
 
 
-def stamp(text: str):
-    return F.lit(datetime.fromisoformat(text.split("'")[1])).cast("timestamp_ntz")
+def stamp(text: str) -> Column:
+    return moment(datetime.fromisoformat(text.split("'")[1]))
 
 
 @query(

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martloom.functions.times import moment
 from martloom.plans import incremental, marts, warehouse
 from martloom.plans.warehouse import SOURCES
 from martloom.queries import inputs
@@ -25,7 +26,7 @@ def two_runs(spark: SparkSession, source: str, docs: DataFrame, half: datetime)
     """The source as it stood at ``half``, then as it stands at the end; the second run takes what is new."""
     field = SOURCES[source].spec.watermark_field
     wh = Warehouse.create(spark, workspace(spark, source), slices(spark))
-    incremental.run(wh, {source: docs.where(F.col(field) < F.lit(half).cast("timestamp_ntz"))}, FIRST_RUN)
+    incremental.run(wh, {source: docs.where(F.col(field) < moment(half))}, FIRST_RUN)
     incremental.run(wh, {source: docs}, SECOND_RUN)
     return wh
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from martloom.operators.latest import latest_version
 from martloom.operators.merge import insert_ignore
-from martloom.sinks.warehouse import Warehouse
+from martloom.sinks.warehouse import Warehouse, local_rows
 
 JOB_LOG = (
     "job_name STRING, source_name STRING, run_id STRING, batch_id STRING, rows_extracted BIGINT, "
@@ -67,8 +67,7 @@ def watermarks(wh: Warehouse) -> DataFrame:
 
 def seed_watermarks(wh: Warehouse, fields: Mapping[str, str]) -> None:
     """A ``never_run`` row for each source that has none. Safe to repeat."""
-    spark = wh.spark
-    seeds = spark.createDataFrame([(s, f, None, None, "never_run") for s, f in fields.items()], WATERMARKS)
+    seeds = local_rows(wh.spark, [(s, f, None, None, "never_run") for s, f in fields.items()], WATERMARKS)
     missing = insert_ignore(watermarks(wh), seeds, ["source_name"], only_new=True)
     rows = [tuple(row) for row in missing.collect()]
     if rows:

@@ -10,21 +10,37 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martloom.functions.hashing import hash_slice
+from martloom.functions.times import moment
 
 COMMITS = "commit_seq BIGINT, version STRING, table_name STRING, slices ARRAY<INT>, committed_at TIMESTAMP_NTZ"
 LAYOUT = "slices INT"
 
 
+def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A few rows of the job's own as constants of the plan: no Python worker is started for them."""
+    fields = T.StructType.fromDDL(schema).fields
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+
+    def constant(value: object, field: T.StructField) -> Column:
+        column = moment(value) if isinstance(value, date) else F.lit(value)
+        return column.cast(field.dataType).alias(field.name)
+
+    structs = [F.struct(*[constant(v, f) for v, f in zip(row, fields)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def create_if_missing(spark: SparkSession, path: str, schema: str, *partition_by: str) -> None:
     """An empty table, unless there is one already."""
-    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*partition_by).parquet(path)
+    local_rows(spark, [], schema).write.mode("ignore").partitionBy(*partition_by).parquet(path)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str, *partition_by: str) -> DataFrame:
@@ -40,7 +56,7 @@ def overwrite(df: DataFrame, path: str) -> None:
 
 def append_rows(spark: SparkSession, rows: Sequence[tuple], schema: str, path: str) -> None:
     """Add a few records of the job's own, such as a log row, as one small file."""
-    spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(path)
+    local_rows(spark, rows, schema).coalesce(1).write.mode("append").parquet(path)
 
 
 def append_batch(df: DataFrame, path: str, order_by: str | None = None) -> None:
@@ -77,7 +93,7 @@ class Snapshot:
         }
         versions = {version: owned for version, owned in versions.items() if owned}
         if not versions:
-            return self.wh.spark.createDataFrame([], schema)
+            return local_rows(self.wh.spark, [], schema)
         base = self.wh.path(table)
         reader = self.wh.spark.read.schema(f"{schema}, version STRING, slice INT").option("basePath", base)
         rows = reader.parquet(*[f"{base}/version={v}" for v in versions])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions.documents import to_document
 from martloom.functions.hashing import surrogate_id
-from martloom.functions.times import lookback_start
+from martloom.functions.times import lookback_start, moment
 
 
 @dataclass(frozen=True)
@@ -47,8 +47,8 @@ def since(df: DataFrame, column: str, watermark: date | datetime | None, lookbac
     if watermark is None:
         return df
     if lookback_days is None:
-        return df.where(F.col(column) > F.lit(watermark))
-    return df.where(F.col(column) >= F.lit(lookback_start(watermark, lookback_days)))
+        return df.where(F.col(column) > moment(watermark))
+    return df.where(F.col(column) >= moment(lookback_start(watermark, lookback_days)))
 
 
 def staged(docs: DataFrame, spec: SourceSpec, batch_id: str, run_ts: datetime) -> DataFrame:
@@ -57,7 +57,7 @@ def staged(docs: DataFrame, spec: SourceSpec, batch_id: str, run_ts: datetime) -
         F.col(spec.key).cast("string").alias(spec.key),
         to_document([text_id(docs, c) for c in docs.columns]).alias("source_doc"),
         F.col(spec.watermark_field).cast("timestamp_ntz").alias(spec.staged_field),
-        F.lit(run_ts).cast("timestamp_ntz").alias("extracted_at"),
+        moment(run_ts).alias("extracted_at"),
         F.lit(batch_id).alias("batch_id"),
     )
     return rows.withColumn("id", surrogate_id(spec.key, spec.staged_field, "source_doc"))
