@@ -17,14 +17,14 @@ LOOKBACK_DAYS = 3
 
 
 def hashed(df: DataFrame, columns: Sequence[str], not_null: Sequence[str]) -> DataFrame:
-    """Distinct rows with their content hash; rows missing a required value are left out."""
-    rows = df.select(*columns).dropna(subset=list(not_null)).distinct()
+    """Rows with their content hash; rows missing a required value are left out. Equal rows stay."""
+    rows = df.select(*columns).dropna(subset=list(not_null))
     return rows.select(row_hash(rows, columns).alias("row_hash"), *columns)
 
 
 def full_rows(df: DataFrame, columns: Sequence[str], not_null: Sequence[str], run_ts: datetime) -> DataFrame:
     """The whole target, as a full refresh writes it."""
-    return hashed(df, columns, not_null).withColumn("load_dttm", moment(run_ts))
+    return hashed(df.select(*columns).distinct(), columns, not_null).withColumn("load_dttm", moment(run_ts))
 
 
 def window_rows(df: DataFrame, day: str, watermark: date | None, days: int = LOOKBACK_DAYS) -> DataFrame:

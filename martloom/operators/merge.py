@@ -59,10 +59,14 @@ def upsert(
 def insert_ignore(target: DataFrame, updates: DataFrame, keys: Sequence[str], only_new: bool = False) -> DataFrame:
     """Target plus the updates whose key it lacks; ``only_new`` gives just those, to append.
 
-    Null keys equal each other here: a repeated null key is inserted once. Which of several updates with
-    one key is kept is not defined; order them first if they differ.
+    Null keys equal each other here: a repeated null key is inserted once. Of several updates with one key
+    the lowest by its other columns is kept, so a retried task picks the same one.
     """
-    fresh = updates.dropDuplicates(list(keys))
+    rest = [c for c in updates.columns if c not in keys]
+    fresh = updates.select(*keys).distinct()
+    if rest:
+        lowest = updates.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
+        fresh = lowest.select(*keys, "_row.*").select(*updates.columns)
     on = [fresh[k].eqNullSafe(target[k]) for k in keys]
     new = fresh.join(target.select(*keys), on, "left_anti")
     return new if only_new else target.unionByName(new)
@@ -72,7 +76,7 @@ def touch(target: DataFrame, rows: DataFrame, key: str, stamp: str, run_ts: date
     """Merge by a key that stands for the whole row: known rows get a new stamp, new ones are added.
 
     With the content fixed by the key, the newest stamp per row is all there is to decide, so this is one
-    pre-aggregated shuffle and no join.
+    pre-aggregated shuffle and no join; repeated rows fold into one on the way.
     """
     arrived = rows.withColumn(stamp, moment(run_ts)).select(*target.columns)
     content = [c for c in target.columns if c not in (key, stamp)]

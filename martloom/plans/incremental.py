@@ -51,7 +51,8 @@ def merge(wh: Warehouse, source: Source, batch_id: str, run_ts: datetime) -> Mer
     """Merge one staged batch into the parent table and its child tables.
 
     ``latest/<source>`` keeps the winning raw document of every key, so a merge folds the batch into the
-    slices it touches and never re-reads older batches. All tables become current in one commit.
+    slices it touches and never re-reads older batches. Slices in which no key of the batch is known are not
+    read or rewritten: the batch only adds to them. All tables become current in one commit.
     """
     spec, key = source.spec, source.key
     slice_of = wh.key_slice(key)
@@ -64,7 +65,9 @@ def merge(wh: Warehouse, source: Source, batch_id: str, run_ts: datetime) -> Mer
     raw_table = f"latest/{spec.name}"
     raw_schema = f"{spec.staging_schema}, {MERGED} BOOLEAN"
 
-    known = now.read(raw_table, raw_schema, slices)
+    known_keys = now.read(raw_table, f"{key} STRING", slices)
+    hit = touched_slices(arrived.select(key).join(known_keys, key, "left_semi"), slice_of)
+    known = now.read(raw_table, raw_schema, hit)
     winners = fold_latest(known, arrived, key, spec.staged_field, ["batch_id", "id"], MERGED)
     wh.write_version(winners, raw_table, version, slice_of)
     changed = wh.read_version(raw_table, version, raw_schema).where(MERGED)
@@ -74,18 +77,18 @@ def merge(wh: Warehouse, source: Source, batch_id: str, run_ts: datetime) -> Mer
         rows, rejected = split_rejects(rows, source.accepted())
     def write_child(child: Child) -> None:
         stamped = child.rows(changed).withColumn("loaded_at", moment(run_ts))
-        children = replace_children(now.read(child.table, child.schema, slices), changed, stamped, key)
+        children = replace_children(now.read(child.table, child.schema, hit), changed, stamped, key)
         wh.write_version(children, child.table, version, slice_of)
 
     # Parent and child tables only depend on the winners: their writes share the cluster.
     with ThreadPoolExecutor(max_workers=1 + len(source.children)) as pool:
-        parent = pool.submit(_merge_parent, now, source, rows, slices, version, run_ts)
+        parent = pool.submit(_merge_parent, now, source, rows, hit, version, run_ts)
         for done in [pool.submit(write_child, child) for child in source.children]:
             done.result()
         counts = parent.result()
 
     tables = [raw_table, source.table, *[c.table for c in source.children]]
-    wh.commit(now.next_seq, version, {table: slices for table in tables}, run_ts)
+    wh.commit(now.next_seq, version, tables, hit, run_ts, added=set(slices) - set(hit))
     return MergeCounts(*counts, 0 if rejected is None else rejected.count())
 
 

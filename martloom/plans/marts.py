@@ -101,4 +101,4 @@ def _merge_mart(wh: Warehouse, table: str, schema: str, rows: DataFrame, key: st
     merged = upsert(now.read(table, schema), rows, [key], columns, run_ts, modified=modified)
     version = f"{run_ts.strftime('%Y%m%dT%H%M%S')}-{now.next_seq}"
     wh.write_version(merged, table, version, wh.key_slice(key))
-    wh.commit(now.next_seq, version, {table: range(wh.slices)}, run_ts)
+    wh.commit(now.next_seq, version, [table], range(wh.slices), run_ts)

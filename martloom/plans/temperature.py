@@ -96,7 +96,7 @@ def load_target(
             wh.write_version(rows, "target", version, slice_of)
             written = touched_slices(wh.read_version("target", version, TARGET), slice_of)
             # A full load also empties the months that no longer occur.
-            wh.commit(now.next_seq, version, {"target": sorted({*kept, *written})}, run_ts)
+            wh.commit(now.next_seq, version, ["target"], {*kept, *written}, run_ts)
         with log.step("watermark", PIPELINE):
             newest = wh.read("target", TARGET).agg(F.max("noted_date")).first()[0]
             at = None if newest is None else datetime(newest.year, newest.month, newest.day)

@@ -1,41 +1,39 @@
 """Warehouse tables on plain Parquet: sliced by key, replaced slice by slice, committed together.
 
 A table is a folder of ``version=<v>/slice=<n>`` folders. A merge writes the slices it changed to a new
-version folder, and one appended row in ``meta/commits`` makes them current for all its tables at once.
-Nothing that is being read is overwritten, a failed run leaves no trace in the result, and the work of a
-merge follows the slices it touches, not the table.
+version folder, and one append to ``meta/commits`` makes them current for all its tables at once. A slice
+in which no known key changed is not rewritten: the commit only adds the new rows to it. Nothing that is
+being read is overwritten, a failed run leaves no trace in the result, and the work of a merge follows what
+it changes, not the table.
 """
 
 from __future__ import annotations
 
+import json
+from collections import Counter
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.functions.hashing import hash_slice
-from martloom.functions.times import moment
 
-COMMITS = "commit_seq BIGINT, version STRING, table_name STRING, slices ARRAY<INT>, committed_at TIMESTAMP_NTZ"
+COMMITS = (
+    "commit_seq BIGINT, version STRING, table_name STRING, replaced ARRAY<INT>, added ARRAY<INT>, committed_at TIMESTAMP_NTZ"
+)
 LAYOUT = "slices INT"
 
 
 def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A few rows of the job's own as constants of the plan: no Python worker is started for them."""
-    fields = T.StructType.fromDDL(schema).fields
-    if not rows:
-        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
-
-    def constant(value: object, field: T.StructField) -> Column:
-        column = moment(value) if isinstance(value, date) else F.lit(value)
-        return column.cast(field.dataType).alias(field.name)
-
-    structs = [F.struct(*[constant(v, f) for v, f in zip(row, fields)]) for row in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    """A few rows of the job's own as one constant of the plan: no Python worker is started for them."""
+    fields = T.StructType.fromDDL(schema)
+    text = json.dumps([dict(zip(fields.names, row)) for row in rows], default=lambda value: value.isoformat())
+    frame = spark.range(1).select(F.inline(F.from_json(F.lit(text), T.ArrayType(fields))))
+    return frame if rows else frame.limit(0)
 
 
 def create_if_missing(spark: SparkSession, path: str, schema: str, *partition_by: str) -> None:
@@ -73,8 +71,8 @@ def append_batch(df: DataFrame, path: str, order_by: str | None = None) -> None:
 class Snapshot:
     """The current slices of every table at one moment; reads through it see one consistent state.
 
-    ``next_seq`` numbers the next commit: the newest commit always owns the slices it wrote, so its number
-    is the largest among the current ones.
+    ``live`` maps table and version to the slices the version contributes to. ``next_seq`` numbers the next
+    commit: what the newest commit wrote is always current, so its number is the largest to be found.
     """
 
     wh: Warehouse
@@ -82,7 +80,7 @@ class Snapshot:
     live: Mapping[str, Mapping[str, Sequence[int]]]
 
     def slices(self, table: str) -> list[int]:
-        return sorted(s for owned in self.live.get(table, {}).values() for s in owned)
+        return sorted({s for owned in self.live.get(table, {}).values() for s in owned})
 
     def read(self, table: str, schema: str, slices: Iterable[int] | None = None) -> DataFrame:
         """Current rows of a table, or of some slices of it: other folders are not even listed."""
@@ -144,12 +142,18 @@ class Warehouse:
         return read_or_empty(self.spark, self.path("meta/commits"), COMMITS)
 
     def snapshot(self) -> Snapshot:
-        """What is current now, from one read of the commits; one small row per table and version."""
-        commits = self.commits()
+        """What is current now: for each slice its last replacement and what was added after that.
+
+        One small row per table and version reaches the driver.
+        """
+        commits = self.commits().select(
+            "table_name", "commit_seq", "version", F.explode(F.concat("replaced", "added")).alias("slice"), "replaced"
+        )
+        replaces = F.array_contains("replaced", F.col("slice"))
+        last_replaced = F.max(F.when(replaces, F.col("commit_seq"))).over(Window.partitionBy("table_name", "slice"))
         owners = (
-            commits.select("table_name", "commit_seq", "version", F.explode("slices").alias("slice"))
-            .groupBy("table_name", "slice")
-            .agg(F.max("commit_seq").alias("commit_seq"), F.max_by("version", "commit_seq").alias("version"))
+            commits.withColumn("since", F.coalesce(last_replaced, F.lit(0)))
+            .where(F.col("commit_seq") >= F.col("since"))
             .groupBy("table_name", "version")
             .agg(F.max("commit_seq").alias("commit_seq"), F.sort_array(F.collect_list("slice")).alias("slices"))
         )
@@ -176,10 +180,26 @@ class Warehouse:
         """Rows of a version that may not be committed yet."""
         return self.spark.read.schema(schema).parquet(f"{self.path(table)}/version={version}")
 
-    def commit(self, seq: int, version: str, tables: Mapping[str, Sequence[int]], at: datetime) -> None:
-        """Make the version's slices current, for all tables in one write."""
-        rows = [(seq, version, table, sorted(slices), at) for table, slices in tables.items()]
-        append_rows(self.spark, rows, COMMITS, self.path("meta/commits"))
+    def commit(
+        self, seq: int, version: str, tables: Iterable[str], replaced: Iterable[int], at: datetime, added: Iterable[int] = ()
+    ) -> None:
+        """Make what the version wrote current, for all tables in one write.
+
+        In ``replaced`` slices it takes the place of what was there, even if it wrote no row to them; to
+        ``added`` slices it adds its rows.
+        """
+        lists = sorted(replaced), sorted(added)
+        append_rows(self.spark, [(seq, version, table, *lists, at) for table in tables], COMMITS, self.path("meta/commits"))
+
+    def compact(self, table: str, schema: str, slice_of: Column, at: datetime) -> None:
+        """Rewrite the slices that several versions have added to, each as one version."""
+        now = self.snapshot()
+        versions = Counter(s for owned in now.live.get(table, {}).values() for s in owned)
+        grown = [s for s, times in versions.items() if times > 1]
+        if grown:
+            version = f"compact-{now.next_seq}"
+            self.write_version(now.read(table, schema, grown), table, version, slice_of)
+            self.commit(now.next_seq, version, [table], grown, at)
 
     # ---- small append-only tables --------------------------------------------------------------------
 

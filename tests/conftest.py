@@ -20,6 +20,8 @@ def spark(tmp_path_factory):
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
         "spark.checkpoint.dir": shared,
+        # Not recording the call site of every column halves the time spent building plans.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     spark = session("martloom-tests", **conf)
     spark.sparkContext.setLogLevel("ERROR")

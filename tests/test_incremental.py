@@ -205,6 +205,23 @@ def test_a_snapshot_keeps_its_state(wh, load):
     assert row.session_duration_seconds == 10
 
 
+def test_new_keys_add_to_a_slice_and_known_keys_replace_it(spark, wh, load):
+    table, schema = "dwh/user_sessions", warehouse.USER_SESSIONS
+    load([session("s1", 1, 10)], RUNS[0])
+    load([session(f"n{i}", 2) for i in range(9)], RUNS[1])
+    live = wh.snapshot().live[table]
+    assert len(live) == 2 and sum(len(owned) for owned in live.values()) == 4
+    assert len(sessions(wh)) == 10
+    before = sessions(wh)
+    wh.compact(table, schema, wh.key_slice("session_id"), RUNS[2])
+    compacted = wh.snapshot().live[table]
+    assert sum(len(owned) for owned in compacted.values()) == 3
+    assert sessions(wh) == before
+    load([session("s1", 5, 50), *[session(f"n{i}", 5) for i in range(9)]], RUNS[3])
+    assert [sorted(owned) for owned in wh.snapshot().live[table].values()] == [[0, 1, 2]]
+    assert len(sessions(wh)) == 10
+
+
 def test_the_slice_count_is_fixed(wh, spark):
     with pytest.raises(ValueError, match="3 slices"):
         Warehouse.create(spark, wh.root, 4)

@@ -182,7 +182,8 @@ COLUMNS, REQUIRED = ["place", "day", "t"], ["day", "t"]
 
 def test_equal_readings_share_a_hash_and_incomplete_ones_go(spark):
     df = spark.createDataFrame([("in", date(2024, 1, 1), 1.0)] * 3 + [("in", None, 1.0), ("in", date(2024, 1, 1), None)], "place string, day date, t double")
-    assert hashed(df, COLUMNS, REQUIRED).count() == 1
+    assert hashed(df, COLUMNS, REQUIRED).distinct().count() == 1
+    assert full_rows(df, COLUMNS, REQUIRED, T1).count() == 1
 
 
 def test_incremental_hash_load_restamps_the_lookback_window(spark):
