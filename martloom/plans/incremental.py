@@ -16,7 +16,7 @@ from martloom.operators.latest import fold_latest
 from martloom.operators.merge import ACTION, replace_children, split_rejects, upsert
 from martloom.operators.quality import all_checks, check, check_batch_size, check_parent, check_unique, gate, not_null
 from martloom.plans.warehouse import SOURCES, Child, Source
-from martloom.sinks.runlog import RunLog, advance_watermark, read_watermark, seed_watermarks
+from martloom.sinks.runlog import RunLog, advance_watermark, seed_watermarks
 from martloom.sinks.warehouse import Snapshot, Warehouse, touched_slices
 from martloom.sources.documents import batch_name, since, staged
 
@@ -30,10 +30,18 @@ class MergeCounts:
     rejected: int
 
 
-def extract(wh: Warehouse, source: Source, docs: DataFrame, batch_id: str, run_ts: datetime, lookback_days: int | None = None) -> tuple[int, int]:
+def extract(
+    wh: Warehouse,
+    source: Source,
+    docs: DataFrame,
+    watermark: datetime | None,
+    batch_id: str,
+    run_ts: datetime,
+    lookback_days: int | None = None,
+) -> tuple[int, int]:
     """Stage what is new since the watermark; returns rows extracted and rows found in staging."""
     spec = source.spec
-    new = since(docs, spec.watermark_field, read_watermark(wh, spec.name), lookback_days)
+    new = since(docs, spec.watermark_field, watermark, lookback_days)
     return stage(wh, source, new, batch_id, run_ts)
 
 
@@ -134,7 +142,7 @@ def run(wh: Warehouse, collections: Mapping[str, DataFrame], run_ts: datetime, l
     again and merging them once more changes nothing.
     """
     log = RunLog(wh)
-    seed_watermarks(wh, {n: SOURCES[n].spec.watermark_field for n in collections})
+    watermarks = seed_watermarks(wh, {n: SOURCES[n].spec.watermark_field for n in collections})
     results: dict[str, MergeCounts] = {}
     batches: dict[str, str] = {}
     try:
@@ -142,7 +150,9 @@ def run(wh: Warehouse, collections: Mapping[str, DataFrame], run_ts: datetime, l
             source, batch_id = SOURCES[name], batch_name(name, run_ts)
             batches[name] = batch_id
             with log.step("extract", name, batch_id) as counts:
-                counts["extracted"], counts["staged"] = extract(wh, source, docs, batch_id, run_ts, lookback_days)
+                counts["extracted"], counts["staged"] = extract(
+                    wh, source, docs, watermarks[name], batch_id, run_ts, lookback_days
+                )
                 check_batch_size(counts["extracted"], counts["staged"])
             with log.step("merge", name, batch_name(name, run_ts, "merge")) as counts:
                 merged = merge(wh, source, batch_id, run_ts)
@@ -154,7 +164,7 @@ def run(wh: Warehouse, collections: Mapping[str, DataFrame], run_ts: datetime, l
             spec = SOURCES[name].spec
             with log.step("watermark", name, batch_name(name, run_ts, "watermark")):
                 loaded = wh.staging(name, spec.staging_schema, batch_id)
-                advance_watermark(wh, name, spec.watermark_field, loaded, spec.staged_field, run_ts)
+                advance_watermark(wh, name, spec.watermark_field, loaded, spec.staged_field, watermarks[name], run_ts)
     finally:
         log.flush()
     return results

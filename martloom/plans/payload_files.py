@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from martloom.functions.documents import parse_document
 from martloom.functions.hashing import surrogate_id
 from martloom.functions.numbers import amount
 from martloom.operators.shape import required
-from martloom.operators.shred import first_of_each
+from martloom.operators.shred import ITEM, POSITION, first_of_each, items
 
 PETS = (
     "pets ARRAY<STRUCT<name: STRING, species: STRING, favFoods: ARRAY<STRING>, birthYear: STRING, photo: STRING>>"
@@ -37,19 +39,19 @@ AMOUNTS = {
 def pet_records(landed: DataFrame, strict: bool = True) -> DataFrame:
     """One row per pet with its foods still nested; of pets with one name in a file the first counts."""
     parsed = landed.select("raw_id", parse_document("payload", PETS).alias("doc"))
-    items = parsed.select("raw_id", F.posexplode("doc.pets").alias("_pos", "pet")).select("raw_id", "_pos", "pet.*")
+    found = items(parsed, "doc.pets", ["raw_id"]).select("raw_id", POSITION, f"{ITEM}.*")
     name = required(F.col("name"), "pet name") if strict else F.col("name")
     year = F.col("birthYear")
-    rows = items.select(
+    rows = found.select(
         "raw_id",
-        "_pos",
+        POSITION,
         name.alias("name"),
         "species",
         (year.cast("int") if strict else year.try_cast("int")).alias("birth_year"),
         "photo",
         F.col("favFoods").alias("fav_foods"),
     )
-    first = first_of_each(rows, ["raw_id", "name"], "_pos").drop("_pos")
+    first = first_of_each(rows, ["raw_id", "name"], POSITION).drop(POSITION)
     return first.withColumn("id", surrogate_id("raw_id", "name"))
 
 
@@ -57,24 +59,24 @@ def pets(records: DataFrame) -> DataFrame:
     return records.select("id", "name", "species", "birth_year", "photo", "raw_id")
 
 
-def pet_fav_foods(records: DataFrame) -> DataFrame:
-    """Each food once per pet; pets without foods have no rows."""
-    foods = records.select(F.col("id").alias("pet_id"), F.explode("fav_foods").alias("food"))
-    return foods.select("pet_id", required(F.col("food"), "food").alias("food")).distinct()
+def pet_fav_foods(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Each food once per pet; pets without foods have no rows. ``keep`` carries columns of the pet along."""
+    foods = items(records, "fav_foods", [F.col("id").alias("pet_id"), *keep])
+    return foods.select("pet_id", *keep, required(F.col(ITEM), "food").alias("food")).distinct()
 
 
 def nutrition_foods(landed: DataFrame, strict: bool = True) -> DataFrame:
     """Food elements of landed XML with their numbers typed. Other elements of the file are not read."""
     options = {"ignoreSurroundingSpaces": "false"}
     parsed = landed.select("raw_id", F.from_xml("payload", NUTRITION, options).alias("doc"))
-    foods = parsed.select("raw_id", F.posexplode("doc.food").alias("_pos", "food")).select("raw_id", "_pos", "food.*")
+    foods = items(parsed, "doc.food", ["raw_id"]).select("raw_id", POSITION, f"{ITEM}.*")
     rows = foods.select(
         required(F.col("name"), "food name").alias("name") if strict else "name",
         "mfr",
         *[amount(F.col(path), strict).alias(name) for name, path in AMOUNTS.items()],
         F.col("serving._units").alias("serving_units"),
         "raw_id",
-        "_pos",
+        POSITION,
     )
-    first = first_of_each(rows, ["name", "mfr", "raw_id"], "_pos").drop("_pos")
+    first = first_of_each(rows, ["name", "mfr", "raw_id"], POSITION).drop(POSITION)
     return first.select(surrogate_id("raw_id", "name", "mfr").alias("id"), *first.columns)

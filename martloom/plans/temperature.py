@@ -16,7 +16,7 @@ from martloom.operators.hashload import LOOKBACK_DAYS, full_rows, hashed, window
 from martloom.operators.merge import touch
 from martloom.operators.outliers import trim
 from martloom.operators.shape import equals_ignoring_case, with_nulls
-from martloom.sinks.runlog import RunLog, read_watermark, seed_watermarks, WATERMARKS
+from martloom.sinks.runlog import WATERMARKS, RunLog, seed_watermarks
 from martloom.sinks.warehouse import Warehouse, overwrite, read_or_empty, touched_slices
 from martloom.sources.files import csv_text
 
@@ -77,8 +77,7 @@ def load_target(
     """
     if mode not in ("full", "incremental"):
         raise ValueError(f"load mode {mode!r} is neither full nor incremental")
-    seed_watermarks(wh, {PIPELINE: "noted_date"})
-    stored = read_watermark(wh, PIPELINE)
+    stored = seed_watermarks(wh, {PIPELINE: "noted_date"})[PIPELINE]
     watermark = stored.date() if stored is not None else None
     slice_of = month_slice("noted_date")
     log = RunLog(wh)

@@ -51,7 +51,13 @@ TICKET_MESSAGES = (
 
 
 def parsed(raw: DataFrame, key: str, schema: str) -> DataFrame:
-    return raw.select(key, "source_doc", parse_document("source_doc", schema).alias("doc"))
+    """Documents with their parsed form in ``doc``.
+
+    Coming out of a generator, ``doc`` is parsed once per row: a later filter on a field stays above it,
+    where otherwise it would be pushed down together with a second ``from_json``.
+    """
+    doc = F.struct(parse_document("source_doc", schema).alias("doc"))
+    return raw.select(key, "source_doc", F.inline(F.array(doc)))
 
 
 def sessions(raw: DataFrame) -> DataFrame:

@@ -129,9 +129,9 @@ def watermark_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = Warehouse.create(spark, workspace(spark, "watermarks"), slices(spark))
     fields = {"events": "ts", "orders": "o_orderdate", "idle": "ts"}
     seed_watermarks(wh, fields)
-    seed_watermarks(wh, fields)
+    current = seed_watermarks(wh, fields)
     for name in ("events", "orders"):
-        advance_watermark(wh, name, fields[name], table(spark, sf_dir, name), fields[name], FIRST_RUN)
+        advance_watermark(wh, name, fields[name], table(spark, sf_dir, name), fields[name], current[name], FIRST_RUN)
     nothing = table(spark, sf_dir, "events").where(F.col("ts").isNull())
-    advance_watermark(wh, "idle", "ts", nothing, "ts", FIRST_RUN)
+    advance_watermark(wh, "idle", "ts", nothing, "ts", current["idle"], FIRST_RUN)
     return watermarks(wh).drop("last_run_at")

@@ -194,10 +194,9 @@ def json_parent_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def first_match_children(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Foods of the first pet of each name, joined back to their pets by the generated id."""
+    """Foods of the first pet of each name in a file."""
     records = payload_files.pet_records(pets_payload(spark, sf_dir))
-    pets = payload_files.pets(records).select(F.col("id").alias("pet_id"), "raw_id", "name")
-    return payload_files.pet_fav_foods(records).join(pets, "pet_id").select("raw_id", "name", "food")
+    return payload_files.pet_fav_foods(records, keep=["raw_id", "name"]).drop("pet_id")
 
 
 def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:

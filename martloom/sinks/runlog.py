@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.operators.latest import latest_version
-from martloom.operators.merge import insert_ignore
-from martloom.sinks.warehouse import Warehouse, local_rows
+from martloom.sinks.warehouse import Warehouse
 
 JOB_LOG = (
     "job_name STRING, source_name STRING, run_id STRING, batch_id STRING, rows_extracted BIGINT, "
@@ -65,26 +64,27 @@ def watermarks(wh: Warehouse) -> DataFrame:
     return latest_version(wh.log("watermarks", WATERMARKS), ["source_name"], newest_first)
 
 
-def seed_watermarks(wh: Warehouse, fields: Mapping[str, str]) -> None:
-    """A ``never_run`` row for each source that has none. Safe to repeat."""
-    seeds = local_rows(wh.spark, [(s, f, None, None, "never_run") for s, f in fields.items()], WATERMARKS)
-    missing = insert_ignore(watermarks(wh), seeds, ["source_name"], only_new=True)
-    rows = [tuple(row) for row in missing.collect()]
-    if rows:
-        wh.append_log("watermarks", rows, WATERMARKS)
+def current_watermarks(wh: Warehouse) -> dict[str, datetime | None]:
+    """Source -> watermark, null before the first load. One row per source reaches the driver."""
+    return {row.source_name: row.last_watermark_value for row in watermarks(wh).collect()}
 
 
-def read_watermark(wh: Warehouse, source: str) -> datetime | None:
-    row = watermarks(wh).where(F.col("source_name") == source).first()
-    return None if row is None else row.last_watermark_value
+def seed_watermarks(wh: Warehouse, fields: Mapping[str, str]) -> dict[str, datetime | None]:
+    """A ``never_run`` row for each source that has none; returns all watermarks. Safe to repeat."""
+    known = current_watermarks(wh)
+    missing = [(source, column, None, None, "never_run") for source, column in fields.items() if source not in known]
+    if missing:
+        wh.append_log("watermarks", missing, WATERMARKS)
+    return {**{source: None for source in fields}, **known}
 
 
-def advance_watermark(wh: Warehouse, source: str, column: str, loaded: DataFrame, staged_field: str, run_ts: datetime) -> datetime | None:
+def advance_watermark(
+    wh: Warehouse, source: str, column: str, loaded: DataFrame, staged_field: str, current: datetime | None, run_ts: datetime
+) -> datetime | None:
     """Move the watermark to the newest loaded row. No rows, or older ones only, leave it where it is."""
     newest = loaded.agg(F.max(staged_field)).first()[0]
     if newest is None:
-        return read_watermark(wh, source)
-    current = read_watermark(wh, source)
+        return current
     value = newest if current is None else max(current, newest)
     wh.append_log("watermarks", [(source, column, value, run_ts, "success")], WATERMARKS)
     return value

@@ -32,7 +32,7 @@ def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataF
     """A few rows of the job's own as one constant of the plan: no Python worker is started for them."""
     fields = T.StructType.fromDDL(schema)
     text = json.dumps([dict(zip(fields.names, row)) for row in rows], default=lambda value: value.isoformat())
-    frame = spark.range(1).select(F.inline(F.from_json(F.lit(text), T.ArrayType(fields))))
+    frame = spark.range(0, 1, 1, 1).select(F.inline(F.from_json(F.lit(text), T.ArrayType(fields))))
     return frame if rows else frame.limit(0)
 
 
@@ -54,7 +54,7 @@ def overwrite(df: DataFrame, path: str) -> None:
 
 def append_rows(spark: SparkSession, rows: Sequence[tuple], schema: str, path: str) -> None:
     """Add a few records of the job's own, such as a log row, as one small file."""
-    local_rows(spark, rows, schema).coalesce(1).write.mode("append").parquet(path)
+    local_rows(spark, rows, schema).write.mode("append").parquet(path)
 
 
 def append_batch(df: DataFrame, path: str, order_by: str | None = None) -> None:

@@ -11,7 +11,7 @@ from martloom.operators.quality import QualityError
 from martloom.plans import incremental, marts, temperature, warehouse
 from martloom.plans.warehouse import SOURCES
 from martloom.session import workspace
-from martloom.sinks.runlog import JOB_LOG, WATERMARKS, read_watermark, seed_watermarks, watermarks
+from martloom.sinks.runlog import JOB_LOG, WATERMARKS, current_watermarks, seed_watermarks, watermarks
 from martloom.sinks.warehouse import Warehouse
 
 SESSION_DOC = (
@@ -73,7 +73,7 @@ def test_first_run_takes_everything_and_types_it(wh, load):
     assert (s1.loaded_at, s1.updated_at) == (RUNS[0], RUNS[0])
     assert (found["s2"].end_time, found["s2"].session_duration_seconds, found["s2"].pages_visited_count) == (None, None, 0)
     assert pages(wh) == [("s1", 1, "a"), ("s1", 2, "b")]
-    assert read_watermark(wh, "user_sessions") == at(2)
+    assert current_watermarks(wh)["user_sessions"] == at(2)
 
 
 def test_newer_versions_update_and_older_ones_are_not_seen(wh, load):
@@ -101,7 +101,7 @@ def test_nothing_new_changes_nothing(wh, load):
     counts = load(rows, RUNS[1])
     assert (counts.inserted, counts.updated) == (0, 0)
     assert sessions(wh) == before
-    assert read_watermark(wh, "user_sessions") == at(2)
+    assert current_watermarks(wh)["user_sessions"] == at(2)
 
 
 def test_a_lookback_sees_late_rows_but_keeps_newer_versions(wh, load):
@@ -110,7 +110,7 @@ def test_a_lookback_sees_late_rows_but_keeps_newer_versions(wh, load):
     found = sessions(wh)
     assert set(found) == {"s1", "s2", "s3"}
     assert (found["s1"].session_duration_seconds, found["s1"].updated_at) == (10, RUNS[1])
-    assert read_watermark(wh, "user_sessions") == at(60)
+    assert current_watermarks(wh)["user_sessions"] == at(60)
 
 
 def test_two_versions_in_one_batch_and_a_null_time(wh, spark):
@@ -124,10 +124,10 @@ def test_two_versions_in_one_batch_and_a_null_time(wh, spark):
 def test_failed_checks_stop_the_watermark_and_the_next_run_repeats(wh, load):
     with pytest.raises(QualityError, match="user_sessions_negative_duration=1"):
         load([session("s1", 1, -30)], RUNS[0])
-    assert read_watermark(wh, "user_sessions") is None
+    assert current_watermarks(wh)["user_sessions"] is None
     load([session("s1", 2, 30)], RUNS[1])
     assert sessions(wh)["s1"].session_duration_seconds == 30
-    assert read_watermark(wh, "user_sessions") == at(2)
+    assert current_watermarks(wh)["user_sessions"] == at(2)
     log = [(r.job_name, r.status) for r in wh.log("job_log", JOB_LOG).orderBy("started_at").collect()]
     assert log[:3] == [("extract", "success"), ("merge", "success"), ("quality", "failed")]
     assert log[3:] == [(j, "success") for j in ("extract", "merge", "quality", "watermark")]
