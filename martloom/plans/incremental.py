@@ -74,7 +74,7 @@ def merge(wh: Warehouse, source: Source, batch_id: str, run_ts: datetime) -> Mer
     raw_schema = f"{spec.staging_schema}, {MERGED} BOOLEAN"
 
     known_keys = now.read(raw_table, f"{key} STRING", slices)
-    hit = touched_slices(arrived.select(key).join(known_keys, key, "left_semi"), slice_of)
+    hit = touched_slices(arrived.select(key).distinct().join(known_keys, key, "left_semi"), slice_of)
     known = now.read(raw_table, raw_schema, hit)
     winners = fold_latest(known, arrived, key, spec.staged_field, ["batch_id", "id"], MERGED)
     wh.write_version(winners, raw_table, version, slice_of)
