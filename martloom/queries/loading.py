@@ -21,9 +21,16 @@ from martloom.sources.documents import since
 FIRST_RUN, SECOND_RUN = datetime(2024, 1, 21, 6, 0), datetime(2024, 2, 1, 6, 0)
 
 
-def slices(spark: SparkSession) -> int:
-    """Slices of a warehouse made for one query: as many as the session has shuffle partitions."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+ROWS_PER_SLICE = 2_000_000
+
+
+def new_warehouse(spark: SparkSession, root: str, source: DataFrame) -> Warehouse:
+    """A warehouse for one query, sliced by the rows of its source (a count from the file footers).
+
+    Four slices at least, and no more than the session has shuffle partitions.
+    """
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return Warehouse.create(spark, root, max(min(4, most), min(most, source.count() // ROWS_PER_SLICE)))
 
 
 @query(
@@ -99,8 +106,8 @@ def row_hash_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("target_full_then_incremental", INCREMENTAL_SQL)
 def target_full_then_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same loads as jobs on a stored target with a stored watermark."""
-    wh = Warehouse.create(spark, workspace(spark, "target"), slices(spark))
     readings = inputs.day_readings(spark, sf_dir)
+    wh = new_warehouse(spark, workspace(spark, "target"), readings)
     temperature.load_target(wh, readings.where(F.col("noted_date") <= F.lit(date(2024, 1, 20))), "full", FIRST_RUN)
     temperature.load_target(wh, readings, "incremental", SECOND_RUN)
     return wh.read("target", temperature.TARGET)
@@ -126,7 +133,7 @@ def incremental_extract_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def watermark_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seeded rows, two sources advanced to their newest row, one that had nothing to load."""
-    wh = Warehouse.create(spark, workspace(spark, "watermarks"), slices(spark))
+    wh = new_warehouse(spark, workspace(spark, "watermarks"), table(spark, sf_dir, "events"))
     fields = {"events": "ts", "orders": "o_orderdate", "idle": "ts"}
     seed_watermarks(wh, fields)
     current = seed_watermarks(wh, fields)

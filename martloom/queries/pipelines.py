@@ -11,7 +11,7 @@ from martloom.functions.times import moment
 from martloom.plans import incremental, marts, warehouse
 from martloom.plans.warehouse import SOURCES
 from martloom.queries import inputs
-from martloom.queries.loading import slices
+from martloom.queries.loading import new_warehouse
 from martloom.queries.registry import query
 from martloom.session import workspace
 from martloom.sinks.runlog import JOB_LOG
@@ -25,7 +25,7 @@ FIRST_RUN, SECOND_RUN = datetime(2024, 2, 1, 6, 0), datetime(2024, 2, 2, 6, 0)
 def two_runs(spark: SparkSession, source: str, docs: DataFrame, half: datetime) -> Warehouse:
     """The source as it stood at ``half``, then as it stands at the end; the second run takes what is new."""
     field = SOURCES[source].spec.watermark_field
-    wh = Warehouse.create(spark, workspace(spark, source), slices(spark))
+    wh = new_warehouse(spark, workspace(spark, source), docs)
     incremental.run(wh, {source: docs.where(F.col(field) < moment(half))}, FIRST_RUN)
     incremental.run(wh, {source: docs}, SECOND_RUN)
     return wh
@@ -153,7 +153,8 @@ def run_log_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def staging_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as staged documents, the batch written twice under one id as after a retry."""
     source, batch_id = SOURCES["event_logs"], "event_logs_20240201T060000"
-    wh = Warehouse.create(spark, workspace(spark, "staging"), slices(spark))
+    docs = inputs.event_docs(spark, sf_dir)
+    wh = new_warehouse(spark, workspace(spark, "staging"), docs)
     for _ in range(2):
-        incremental.stage(wh, source, inputs.event_docs(spark, sf_dir), batch_id, FIRST_RUN)
+        incremental.stage(wh, source, docs, batch_id, FIRST_RUN)
     return wh.staging("event_logs", source.spec.staging_schema).drop("id")

@@ -8,12 +8,11 @@ from pyspark.sql import functions as F
 from martloom.plans import warehouse
 from martloom.plans.warehouse import SOURCES
 from martloom.queries import inputs
-from martloom.queries.loading import slices
+from martloom.queries.loading import new_warehouse
 from martloom.queries.pipelines import FIRST_RUN
 from martloom.queries.registry import query, table
 from martloom.session import workspace
 from martloom.sinks.topics import messages, publish
-from martloom.sinks.warehouse import Warehouse
 from martloom.sources.topics import decoded, message_files
 from martloom.streaming.replicate import replicate
 from martloom.streaming.upserts import merge_stream
@@ -50,6 +49,12 @@ def topic_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded(event_messages(spark, sf_dir), MESSAGE)
 
 
+@query("topic_preview", f"{DOCUMENTS_SQL} ORDER BY ts, _id LIMIT 10")
+def topic_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten oldest documents, for a look."""
+    return decoded(event_messages(spark, sf_dir), MESSAGE).orderBy("_timestamp", "_id").limit(10)
+
+
 @query("stream_replicate", DOCUMENTS_SQL)
 def stream_replicate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recorded messages streamed into a document table, in two starts of the same stream."""
@@ -75,8 +80,8 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A growing ticket source merged by a stream. Newer tickets arrive first: the late ones must not win."""
     work = workspace(spark, "upserts")
     source = SOURCES["support_tickets"]
-    wh = Warehouse.create(spark, f"{work}/warehouse", slices(spark))
     docs = inputs.ticket_docs(spark, sf_dir, key="o_custkey")
+    wh = new_warehouse(spark, f"{work}/warehouse", docs)
     newer = F.year("created_at") >= 1998
     for part in (newer, ~newer):
         docs.where(part).write.mode("append").parquet(f"{work}/source")
