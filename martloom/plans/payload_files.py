@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.functions.documents import parse_document
 from martloom.functions.hashing import surrogate_id
 from martloom.functions.numbers import amount
+from martloom.functions.times import moment
+from martloom.operators.latest import latest_payload, latest_payloads
+from martloom.operators.merge import insert_ignore
 from martloom.operators.shape import required
 from martloom.operators.shred import ITEM, POSITION, first_of_each, items
+from martloom.sinks.warehouse import read_or_empty
+from martloom.sources.files import LANDED, landed_files
 
 PETS = (
     "pets ARRAY<STRUCT<name: STRING, species: STRING, favFoods: ARRAY<STRING>, birthYear: STRING, photo: STRING>>"
@@ -80,3 +86,45 @@ def nutrition_foods(landed: DataFrame, strict: bool = True) -> DataFrame:
     )
     first = first_of_each(rows, ["name", "mfr", "raw_id"], POSITION).drop(POSITION)
     return first.select(surrogate_id("raw_id", "name", "mfr").alias("id"), *first.columns)
+
+
+PETS_TABLE = "id BIGINT, name STRING, species STRING, birth_year INT, photo STRING, raw_id BIGINT"
+FOODS_TABLE = "pet_id BIGINT, food STRING"
+NUTRITION_TABLE = (
+    "id BIGINT, name STRING, mfr STRING, "
+    + ", ".join(f"{name} DECIMAL(10,2)" for name in AMOUNTS)
+    + ", serving_units STRING, raw_id BIGINT"
+)
+
+
+def land(spark: SparkSession, root: str, path: str | list[str], file_type: str, loaded_at: datetime) -> None:
+    """Add files to the raw table as they are."""
+    rows = landed_files(spark, path, file_type, moment(loaded_at))
+    rows.write.mode("append").partitionBy("file_type").parquet(f"{root}/raw")
+
+
+def landed(spark: SparkSession, root: str) -> DataFrame:
+    return read_or_empty(spark, f"{root}/raw", LANDED, "file_type")
+
+
+def _append_new(spark: SparkSession, path: str, schema: str, rows: DataFrame, keys: Sequence[str]) -> None:
+    known = read_or_empty(spark, path, schema)
+    insert_ignore(known, rows.select(*known.columns), keys, only_new=True).write.mode("append").parquet(path)
+
+
+def shred_pets(spark: SparkSession, root: str, source: str, strict: bool = True) -> None:
+    """Pets and their foods from the payload of a source that was landed last. Known rows stay as they are."""
+    records = pet_records(latest_payload(landed(spark, root), source, "json"), strict)
+    _append_new(spark, f"{root}/pets", PETS_TABLE, pets(records), ["name", "raw_id"])
+    _append_new(spark, f"{root}/pet_fav_foods", FOODS_TABLE, pet_fav_foods(records), ["pet_id", "food"])
+
+
+def shred_nutrition(spark: SparkSession, root: str, source: str, strict: bool = True) -> None:
+    """Foods from the payload of a source that was landed last. Known rows, null makers included, stay."""
+    rows = nutrition_foods(latest_payload(landed(spark, root), source, "xml"), strict)
+    _append_new(spark, f"{root}/nutrition_foods", NUTRITION_TABLE, rows, ["name", "mfr", "raw_id"])
+
+
+def of_latest_files(rows: DataFrame, raw: DataFrame) -> DataFrame:
+    """Rows that stem from the newest file of their source; older files' rows are kept, but not shown."""
+    return rows.join(latest_payloads(raw).select("raw_id"), "raw_id", "left_semi").select(*rows.columns)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from martloom.operators.latest import latest_payload, latest_payloads
 from martloom.plans import payload_files, stations
+from martloom.sinks.warehouse import append_batch, overwrite
 from martloom.sources import files, topics
 from martloom.sources.documents import SourceSpec, batch_name, documents, since, staged
 
@@ -110,6 +111,39 @@ def test_xml_records_straight_from_a_file(spark, tmp_path):
     assert found.where(F.col("name") == "Bread, long ").first().calories._total == "110"
 
 
+def test_files_are_landed_and_shredded_per_version(spark, tmp_path, rows):
+    root, source = str(tmp_path / "t"), tmp_path / "pets.json"
+    for day, names in ((1, ["Ada", "Bo"]), (2, ["Ada"])):
+        source.write_text(json.dumps({"pets": [{"name": n, "favFoods": ["fish", n]} for n in names]}))
+        payload_files.land(spark, root, str(source), "json", datetime(2024, 1, day))
+        for _ in range(2):
+            payload_files.shred_pets(spark, root, "pets.json")
+    pets = spark.read.parquet(f"{root}/pets")
+    assert rows(pets, "name") == [("Ada",), ("Ada",), ("Bo",)]
+    assert spark.read.parquet(f"{root}/pet_fav_foods").count() == 6
+    assert rows(payload_files.of_latest_files(pets, payload_files.landed(spark, root)), "name") == [("Ada",)]
+    (tmp_path / "n.xml").write_text("<nutrition>" + food("a", mfr=None) + food("b") + "</nutrition>")
+    payload_files.land(spark, root, str(tmp_path / "n.xml"), "xml", datetime(2024, 1, 3))
+    for _ in range(2):
+        payload_files.shred_nutrition(spark, root, "n.xml")
+    assert rows(spark.read.parquet(f"{root}/nutrition_foods"), "name", "mfr") == [("a", None), ("b", "Acme")]
+
+
+def test_an_overwritten_table_takes_the_new_columns(spark, tmp_path):
+    overwrite(spark.range(3), str(tmp_path / "t"))
+    overwrite(spark.range(2).withColumnRenamed("id", "other"), str(tmp_path / "t"))
+    assert (spark.read.parquet(str(tmp_path / "t")).columns, spark.read.parquet(str(tmp_path / "t")).count()) == (["other"], 2)
+
+
+def test_a_staged_batch_is_ordered_inside_its_files(spark, tmp_path):
+    df = spark.range(100).select((99 - F.col("id")).alias("t"), F.lit("b1").alias("batch_id")).coalesce(1)
+    append_batch(df, str(tmp_path / "t"), "t")
+    append_batch(df.where("t < 10").withColumn("batch_id", F.lit("b2")), str(tmp_path / "t"), "t")
+    table = spark.read.parquet(str(tmp_path / "t"))
+    assert [r.t for r in table.where("batch_id = 'b1'").collect()] == list(range(100))
+    assert table.count() == 110
+
+
 def test_only_json_and_xml_can_be_landed(spark, tmp_path):
     with pytest.raises(ValueError, match="neither"):
         files.landed_files(spark, str(tmp_path), "csv")
