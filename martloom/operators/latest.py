@@ -40,9 +40,16 @@ def fold_latest(known: DataFrame, arrived: DataFrame, key: str, time: str, ties:
 
 
 def latest_payload(landed: DataFrame, source: str, file_type: str) -> DataFrame:
-    """The payload of a source that was landed last; equal times are settled by id."""
+    """The payload of a source that was landed last; equal times are settled by id.
+
+    Time and id are looked up first, from their own columns. They then filter the scan that reads payloads,
+    so files and row groups of other times are skipped.
+    """
     rows = landed.where((F.col("file_type") == file_type) & (F.col("source") == source))
-    return rows.orderBy(F.col("loaded_at").desc_nulls_first(), F.col("raw_id").desc()).limit(1)
+    order = F.struct(F.col("loaded_at").isNull().alias("open"), "loaded_at", "raw_id")
+    newest = rows.agg(F.max(order).alias("newest"))
+    at, raw_id = (newest.select(f"newest.{c}").scalar() for c in ("loaded_at", "raw_id"))
+    return rows.where(F.col("loaded_at").eqNullSafe(at) & (F.col("raw_id") == raw_id)).limit(1)
 
 
 def latest_payloads(landed: DataFrame) -> DataFrame:
