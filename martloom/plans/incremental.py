@@ -16,13 +16,23 @@ from martloom.operators.latest import fold_latest
 from martloom.operators.merge import ACTION, replace_children, split_rejects, upsert
 from martloom.operators.quality import all_checks, check, check_batch_size, check_parent, check_unique, gate, not_null
 from martloom.plans.warehouse import SOURCES, Child, Source
-from martloom.sinks.runlog import RunLog, advance_watermark, seed_watermarks
+from martloom.sinks.runlog import RunLog, advance_watermark, new_run_id, seed_watermarks
 from martloom.sinks.warehouse import Snapshot, Warehouse, touched_slices
 from martloom.sources.documents import batch_name, since, staged
 
 MERGED = "merged"
 
 
+@dataclass(frozen=True)
+class StagedBatch:
+    """What was extracted, what of it is found in staging, and the newest time among that."""
+
+    batch_id: str
+    extracted: int
+    loaded: int
+    newest: datetime | None
+
+
 @dataclass(frozen=True)
 class MergeCounts:
     inserted: int
@@ -38,21 +48,20 @@ def extract(
     batch_id: str,
     run_ts: datetime,
     lookback_days: int | None = None,
-) -> tuple[int, int]:
-    """Stage what is new since the watermark; returns rows extracted and rows found in staging."""
-    spec = source.spec
-    new = since(docs, spec.watermark_field, watermark, lookback_days)
-    return stage(wh, source, new, batch_id, run_ts)
+) -> StagedBatch:
+    """Stage what is new since the watermark."""
+    return stage(wh, source, since(docs, source.spec.watermark_field, watermark, lookback_days), batch_id, run_ts)
 
 
-def stage(wh: Warehouse, source: Source, docs: DataFrame, batch_id: str, run_ts: datetime) -> tuple[int, int]:
+def stage(wh: Warehouse, source: Source, docs: DataFrame, batch_id: str, run_ts: datetime) -> StagedBatch:
     spec = source.spec
     seen = Observation()
     # No shuffle lies between the scan and the write, so each row is observed once.
     rows = staged(docs.observe(seen, F.count(F.lit(1)).alias("n")), spec, batch_id, run_ts)
     wh.stage(rows, spec.name, spec.staged_field)
-    loaded = wh.staging(spec.name, spec.staging_schema, batch_id).count()
-    return seen.get["n"], loaded
+    batch = wh.staging(spec.name, spec.staging_schema, batch_id)
+    loaded = batch.agg(F.count(F.lit(1)).alias("n"), F.max(spec.staged_field).alias("newest")).first()
+    return StagedBatch(batch_id, seen.get["n"], loaded.n, loaded.newest)
 
 
 def merge(wh: Warehouse, source: Source, batch_id: str, run_ts: datetime) -> MergeCounts:
@@ -135,36 +144,38 @@ def quality_report(wh: Warehouse, names: list[str] | None = None) -> DataFrame:
     return all_checks([source_checks(now, SOURCES[n]) for n in names or list(SOURCES)])
 
 
-def run(wh: Warehouse, collections: Mapping[str, DataFrame], run_ts: datetime, lookback_days: int | None = None) -> dict[str, MergeCounts]:
+def run(
+    wh: Warehouse,
+    collections: Mapping[str, DataFrame],
+    run_ts: datetime,
+    lookback_days: int | None = None,
+    run_id: str | None = None,
+) -> dict[str, MergeCounts]:
     """One incremental run over the given collections.
 
     If a check fails the merged rows stay but no watermark moves: the next run extracts the same rows
     again and merging them once more changes nothing.
     """
-    log = RunLog(wh)
+    log = RunLog(wh, run_id or new_run_id())
     watermarks = seed_watermarks(wh, {n: SOURCES[n].spec.watermark_field for n in collections})
     results: dict[str, MergeCounts] = {}
-    batches: dict[str, str] = {}
+    batches: dict[str, StagedBatch] = {}
     try:
         for name, docs in collections.items():
             source, batch_id = SOURCES[name], batch_name(name, run_ts)
-            batches[name] = batch_id
             with log.step("extract", name, batch_id) as counts:
-                counts["extracted"], counts["staged"] = extract(
-                    wh, source, docs, watermarks[name], batch_id, run_ts, lookback_days
-                )
-                check_batch_size(counts["extracted"], counts["staged"])
+                batch = extract(wh, source, docs, watermarks[name], batch_id, run_ts, lookback_days)
+                counts.update(extracted=batch.extracted, staged=batch.loaded)
+                check_batch_size(batch.extracted, batch.loaded)
             with log.step("merge", name, batch_name(name, run_ts, "merge")) as counts:
                 merged = merge(wh, source, batch_id, run_ts)
                 counts.update(inserted=merged.inserted, updated=merged.updated, rejected=merged.rejected)
-            results[name] = merged
+            batches[name], results[name] = batch, merged
         with log.step("quality"):
             gate(quality_report(wh, list(collections)))
-        for name, batch_id in batches.items():
-            spec = SOURCES[name].spec
+        for name, batch in batches.items():
             with log.step("watermark", name, batch_name(name, run_ts, "watermark")):
-                loaded = wh.staging(name, spec.staging_schema, batch_id)
-                advance_watermark(wh, name, spec.watermark_field, loaded, spec.staged_field, watermarks[name], run_ts)
+                advance_watermark(wh, name, SOURCES[name].spec.watermark_field, batch.newest, watermarks[name], run_ts)
     finally:
         log.flush()
     return results

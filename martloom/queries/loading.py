@@ -138,7 +138,7 @@ def watermark_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
     seed_watermarks(wh, fields)
     current = seed_watermarks(wh, fields)
     for name in ("events", "orders"):
-        advance_watermark(wh, name, fields[name], table(spark, sf_dir, name), fields[name], current[name], FIRST_RUN)
-    nothing = table(spark, sf_dir, "events").where(F.col("ts").isNull())
-    advance_watermark(wh, "idle", "ts", nothing, "ts", current["idle"], FIRST_RUN)
+        newest = table(spark, sf_dir, name).agg(F.max(fields[name])).first()[0]
+        advance_watermark(wh, name, fields[name], newest, current[name], FIRST_RUN)
+    advance_watermark(wh, "idle", "ts", None, current["idle"], FIRST_RUN)
     return watermarks(wh).drop("last_run_at")

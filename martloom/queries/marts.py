@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from martloom.operators.aggregates import mode, profile
 from martloom.operators.merge import upsert
 from martloom.plans import marts, warehouse
-from martloom.queries import inputs
 from martloom.queries.merging import RUN_TS
 from martloom.queries.registry import query, table
 

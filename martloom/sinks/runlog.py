@@ -29,12 +29,16 @@ def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+def new_run_id() -> str:
+    return str(uuid.uuid4())
+
+
 @dataclass
 class RunLog:
     """Collects the finished record of each step of a run and appends them in one write."""
 
     wh: Warehouse
-    run_id: str = field(default_factory=lambda: str(uuid.uuid4()))
+    run_id: str = field(default_factory=new_run_id)
     records: list[tuple] = field(default_factory=list)
 
     @contextmanager
@@ -79,10 +83,9 @@ def seed_watermarks(wh: Warehouse, fields: Mapping[str, str]) -> dict[str, datet
 
 
 def advance_watermark(
-    wh: Warehouse, source: str, column: str, loaded: DataFrame, staged_field: str, current: datetime | None, run_ts: datetime
+    wh: Warehouse, source: str, column: str, newest: datetime | None, current: datetime | None, run_ts: datetime
 ) -> datetime | None:
-    """Move the watermark to the newest loaded row. No rows, or older ones only, leave it where it is."""
-    newest = loaded.agg(F.max(staged_field)).first()[0]
+    """Move the watermark to the newest loaded time. No rows, or older ones only, leave it where it is."""
     if newest is None:
         return current
     value = newest if current is None else max(current, newest)
