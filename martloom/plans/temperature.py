@@ -93,7 +93,7 @@ def load_target(
                 kept = touched_slices(fresh, slice_of)
                 rows = touch(now.read("target", TARGET, kept), fresh, "row_hash", "load_dttm", run_ts)
             wh.write_version(rows, "target", version, slice_of)
-            written = touched_slices(wh.read_version("target", version, TARGET), slice_of)
+            written = wh.written_slices("target", version)
             # A full load also empties the months that no longer occur.
             wh.commit(now.next_seq, version, ["target"], {*kept, *written}, run_ts)
         with log.step("watermark", PIPELINE):

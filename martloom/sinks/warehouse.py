@@ -180,6 +180,11 @@ class Warehouse:
         """Rows of a version that may not be committed yet."""
         return self.spark.read.schema(schema).parquet(f"{self.path(table)}/version={version}")
 
+    def written_slices(self, table: str, version: str) -> list[int]:
+        """Slices a version wrote rows to, from the folder names: no column is read."""
+        rows = self.spark.read.schema("slice INT").parquet(f"{self.path(table)}/version={version}")
+        return [row.slice for row in rows.distinct().collect()]
+
     def commit(
         self, seq: int, version: str, tables: Iterable[str], replaced: Iterable[int], at: datetime, added: Iterable[int] = ()
     ) -> None:
