@@ -30,6 +30,11 @@ def one_of(table: str, column: str, values: Sequence[str]) -> Rule:
     return Rule(f"{table}_invalid_{column}", ~F.col(column).isin(*values))
 
 
+def unreadable(table: str, column: str, raw: Column, typed: Column) -> Rule:
+    """A text that is there but gave no value: what a tolerant load turned into null."""
+    return Rule(f"{table}_unreadable_{column}", raw.isNotNull() & (raw != "") & typed.isNull())
+
+
 def check(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """``check_name, error_count`` for all rules, from a single scan of the table."""
     counted = df.agg(*[F.count_if(r.bad).cast("bigint").alias(r.name) for r in rules])

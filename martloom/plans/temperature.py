@@ -15,6 +15,7 @@ from martloom.operators.extremes import daily_average, extremes
 from martloom.operators.hashload import LOOKBACK_DAYS, full_rows, hashed, window_rows
 from martloom.operators.merge import touch
 from martloom.operators.outliers import trim
+from martloom.operators.quality import check, unreadable
 from martloom.operators.shape import equals_ignoring_case, with_nulls
 from martloom.sinks.runlog import WATERMARKS, RunLog, seed_watermarks
 from martloom.sinks.warehouse import Warehouse, overwrite, read_or_empty, touched_slices
@@ -44,6 +45,17 @@ def typed_readings(raw: DataFrame, strict: bool = True, optional: dict[str, str]
     return with_nulls(rows, OPTIONAL).select(*CLEAN_COLUMNS)
 
 
+def reading_rejects(raw: DataFrame) -> DataFrame:
+    """How many dates and numbers of indoor rows a tolerant load cannot read, from one scan."""
+    roles = column_roles(raw.columns)
+    day, value = F.col(roles["date"]), F.col(roles["temperature"])
+    rules = [
+        unreadable("readings", "noted_date", day, day_first_date(day, strict=False)),
+        unreadable("readings", "temp_c", value, number(value, "double", strict=False)),
+    ]
+    return check(raw.where(equals_ignoring_case(F.col(roles["in_out"]), "in")), rules)
+
+
 def clean_layer(typed: DataFrame, low: float = 0.05, high: float = 0.95) -> DataFrame:
     """Readings between the two percentiles. Rows without a date take part in the percentiles, then go."""
     return trim(typed, "temp_c", low, high).where(F.col("noted_date").isNotNull())

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from martloom.functions.documents import to_document
 from martloom.functions.times import elapsed_hours, elapsed_seconds
 from martloom.operators.quality import all_checks, check, check_parent, check_unique, not_null, one_of
-from martloom.plans import warehouse
+from martloom.plans import temperature, warehouse
 from martloom.queries import inputs
 from martloom.queries.registry import query, table
 
@@ -45,6 +45,27 @@ def quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "unreadable_texts",
+    """
+    SELECT 'readings_unreadable_noted_date' AS check_name, count(*) AS error_count FROM orders
+    WHERE o_orderstatus IN ('O', 'F') AND o_orderpriority = '1-URGENT'
+    UNION ALL SELECT 'readings_unreadable_temp_c', count(*) FROM orders WHERE o_orderstatus IN ('O', 'F') AND o_totalprice > 400000
+    """,
+)
+def unreadable_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a tolerant load cannot read: urgent orders have no date but a word, dear ones no plain number."""
+    raw = inputs.temperature_text(spark, sf_dir, keep=["o_orderpriority", "o_totalprice"])
+    return temperature.reading_rejects(
+        raw.withColumns(
+            {
+                "noted_date": F.when(F.col("o_orderpriority") == "1-URGENT", "today").otherwise(F.col("noted_date")),
+                "temp": F.when(F.col("o_totalprice") > 400000, "n/a").otherwise(F.col("temp")),
+            }
+        )
+    )
+
+
 @query(
     "constraint_checks",
     """

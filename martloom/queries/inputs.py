@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,7 +101,7 @@ def ticket_docs(spark: SparkSession, sf_dir: str, key: str = "o_orderkey") -> Da
     )
 
 
-def temperature_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+def temperature_text(spark: SparkSession, sf_dir: str, keep: Sequence[str] = ()) -> DataFrame:
     """Orders as raw temperature rows, all text: day-first dates, prices with blanks, mixed-case in/out."""
     place = F.when(F.col("o_orderstatus") == "O", "In").when(F.col("o_orderstatus") == "F", "in").otherwise("Out")
     price = F.col("o_totalprice").cast("decimal(18,2)")
@@ -108,6 +110,7 @@ def temperature_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("o_orderdate", "d-M-yyyy H:m").alias("noted_date"),
         F.when(price < 50000, "").otherwise(price.cast("string")).alias("temp"),
         place.alias("out_in"),
+        *keep,
     )
 
 

@@ -3,12 +3,14 @@ from __future__ import annotations
 import hashlib
 from datetime import date, datetime
 from decimal import Decimal
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from martloom.functions import documents, hashing, headers, numbers, times
+from martloom.session import workspace
 
 
 def one(df):
@@ -122,3 +124,14 @@ def test_slices_are_in_range_and_stable(spark):
     df = spark.range(1000).select(hashing.hash_slice(F.col("id").cast("string"), 7).alias("s"))
     assert {r[0] for r in df.distinct().collect()} == set(range(7))
     assert one(spark.sql("select date'2024-03-09' d").select(hashing.month_slice("d"))) == 202403
+
+
+def test_work_folders_need_a_shared_place_on_a_cluster(spark):
+    stub = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: default),
+        sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"),
+    )
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workspace(stub, "x")
+    assert workspace(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert workspace(spark, "x") != workspace(spark, "x")

@@ -328,6 +328,12 @@ def test_optional_reading_columns_can_be_mapped(spark):
     assert (row.device_id, row.room_id, row.noted_date, row.temp_c) == ("d7", None, date(2024, 1, 1), 3.0)
 
 
+def test_unreadable_texts_are_counted(spark, rows):
+    texts = [("x", "1", "in"), ("1-1-2024 1:00", "warm", "In"), ("1-1-2024 1:00", "", "in"), ("y", "z", "out"), (None, None, "in")]
+    raw = spark.createDataFrame(texts, "noted_date string, temp string, out_in string")
+    assert rows(temperature.reading_rejects(raw)) == [("readings_unreadable_noted_date", 1), ("readings_unreadable_temp_c", 1)]
+
+
 def test_tolerant_typing_gives_null_for_bad_text(spark):
     raw = spark.createDataFrame([("x", "1", "in"), ("1-1-2024 1:00", "warm", "in")], "noted_date string, temp string, out_in string")
     assert [tuple(r)[-2:] for r in temperature.typed_readings(raw, strict=False).collect()] == [(None, 1.0), (date(2024, 1, 1), None)]
