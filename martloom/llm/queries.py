@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import kd_shards, quality_rules, url_filter
+from martloom.llm import kd_shards, license_scan, packing, pairwise_quality, quality_rules, sentencepiece_backend, url_filter
 from martloom.llm.frames import ROW
 from martloom.queries.registry import Build, Query, table
 
@@ -23,6 +23,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Build], Build]:
 
 
 SHARDS = 24
+#: Scores from here on are predicted as label 1.
+THRESHOLD = 0.3
 
 
 @query("op3_kd_shards")
@@ -107,3 +109,58 @@ FROM counted LEFT JOIN repeated USING (doc_id)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judged(table(spark, sf_dir, "documents"))
     return judged.select(F.col(f"{ROW}.doc_id").alias("doc_id"), *quality_rules.MEASURES, "base_failed", "kept")
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op2_pack_sequences")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.sequences(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+@query("op8_pairwise_quality")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = pairwise_quality.learned(docs, labels, THRESHOLD)
+    doc_id = F.col(f"{ROW}.doc_id")
+    return pairwise_quality.scored(docs, model).select(
+        doc_id.alias("doc_id"),
+        pairwise_quality.held_out(doc_id).alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+@query("op9_sentencepiece")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_backend.summary(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+def _canonical_sql(column: str) -> str:
+    small = f"translate(coalesce({column}, ''), '{url_filter.UPPER}', '{url_filter.LOWER}')"
+    text = f"regexp_replace({small}, '{license_scan.COPYRIGHT_LINE}', '', 'g')"
+    for spelling, kept in license_scan.SPELLINGS:
+        text = f"replace({text}, '{spelling}', '{kept}')"
+    return f"sha256(trim(regexp_replace({text}, '{license_scan.OTHERS}', ' ', 'g')))"
+
+
+_KNOWN_ROWS = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in license_scan.KNOWN.items())
+LICENSE_SQL = rf"""
+WITH known AS (SELECT {_canonical_sql("text")} AS digest, license FROM (VALUES {_KNOWN_ROWS}) AS k(license, text)),
+texts AS (SELECT doc_id, {_canonical_sql("text")} AS digest FROM documents),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
+notices AS (
+  SELECT doc_id, count(*) AS n_notices, array_to_string(list_sort(list_distinct(list(license))), ' ') AS notices
+  FROM (SELECT doc_id, {_canonical_sql("line")} AS digest FROM lines) JOIN known USING (digest) GROUP BY doc_id)
+SELECT doc_id, digest, license, coalesce(n_notices, 0) AS n_notices, coalesce(notices, '') AS notices
+FROM texts LEFT JOIN known USING (digest) LEFT JOIN notices USING (doc_id)
+"""
+
+
+@query("op10_license_scan", LICENSE_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scanned(table(spark, sf_dir, "documents"), license_scan.known_digests(spark))
