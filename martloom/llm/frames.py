@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -27,11 +28,14 @@ def unpacked(df: DataFrame, columns: list[str]) -> DataFrame:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The frame written once as Parquet to the shared folder and read back.
 
-    The written table cuts the lineage: a lost executor costs the tasks it ran, not the steps before them.
+    The written table cuts the lineage: a lost executor costs the tasks it ran, not the steps before them. Shuffle
+    files of those steps go as soon as nothing refers to them, which collecting garbage on the driver finds out.
     """
     spark = df.sparkSession
     path = workspace(spark, name)
     df.write.parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
