@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import kd_shards, license_scan, packing, pairwise_quality, prefix_join, quality_rules, sentencepiece_backend, url_filter
+from martloom.llm import kd_shards, license_scan, nn_descent, packing, pairwise_quality, prefix_join, quality_rules, sentencepiece_backend, url_filter
 from martloom.llm.frames import ROW
 from martloom.queries.registry import Build, Query, table
 
@@ -188,3 +188,8 @@ SELECT doc_id, len(s) AS n_shingles, (SELECT min(other) FROM reach WHERE reach.d
 @query("op5_prefix_join", JACCARD_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_join.linked(table(spark, sf_dir, "documents"))
+
+
+@query("op6_nn_descent")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.searched(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
