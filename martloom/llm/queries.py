@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import kd_shards, license_scan, nn_descent, packing, pairwise_quality, prefix_join, quality_rules, sentencepiece_backend, url_filter
+from martloom.llm import kd_shards, license_scan, nn_descent, packing, pairwise_quality, prefix_join, quality_rules, sentencepiece_backend, suffix_dedup, url_filter
 from martloom.llm.frames import ROW
 from martloom.queries.registry import Build, Query, table
 
@@ -193,3 +193,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_nn_descent")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nn_descent.searched(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op1_suffix_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.measured(table(spark, sf_dir, "documents"))
