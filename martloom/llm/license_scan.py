@@ -7,7 +7,8 @@ same is done for every line as a text of its own, since notices are a line long.
 Only digests and ids move. The known table is small and fixed unless the caller passes another, and is left to Spark's
 measured sizes; copies of a text share a digest, and a shuffled join splits such a group as it splits any hot key.
 
-Null and empty texts have the digest of the empty text, which is no licence. Repeated rows are looked up one by one.
+Null and empty texts have the digest of the empty text, which is no licence. Rows of one id share the notices of all their
+lines.
 Extra columns are not read; an empty table gives no rows; a line that matches several known texts names each.
 """
 
