@@ -4,66 +4,75 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from math import isfinite
 from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# The sketch's accuracy, the margin around a fraction in units of the sketch's error, and
-# how finely the values near a percentile are split.
+# The sketch's accuracy, the margin around a fraction in units of the sketch's error, and into how many parts of
+# about equal size the values near a percentile are split.
 ACCURACY = 10_000
 MARGIN = 5 / ACCURACY
-PARTS = 1_000
+PARTS = 200
 
 
 def percentiles(df: DataFrame, column: str, fractions: Sequence[float]) -> list[float | None]:
     """Percentiles with linear interpolation, nulls ignored, exact; null for a column without values.
 
     Runs at once, like ``approxQuantile``, and returns one number per fraction. Spark's own exact
-    ``percentile`` keeps every distinct value in one task; here two scans of the one column do:
+    ``percentile`` keeps every distinct value in one task; here three scans of the one column do:
 
     1. A sketch of fixed size brackets each percentile.
-    2. Rows outside the brackets fold into one counter per gap; rows inside are counted by value, split over
-       many parts. The running total over the parts, a few thousand rows at most whatever the data, tells
-       which parts hold the wanted positions, and only those are sorted.
+    2. A sketch of the values inside a bracket cuts it into parts of about equal size, however they are spread.
+    3. Rows outside the brackets fold into one counter per gap, with its ends; rows inside are counted by value. The
+       running total over the parts, a few thousand rows at most whatever the data, tells which parts hold the
+       wanted positions, and only those are sorted. A neighbour just outside a bracket is the end of a gap.
     """
     wanted = sorted({float(p) for p in fractions})
+    found = percentile_row(df, column, wanted)
+    if found is None:
+        return [None for _ in fractions]
+    row = found.first()
+    if any(value is None for value in row):
+        raise RuntimeError(f"the sketch of {column} missed a percentile of {wanted}")
+    return [row[wanted.index(float(p))] for p in fractions]
+
+
+def percentile_row(df: DataFrame, column: str, wanted: Sequence[float]) -> DataFrame | None:
+    """One row with a column ``p0``, ``p1``, ... for each of the sorted fractions; None without values."""
     values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
     brackets = _brackets(values, wanted)
     if not brackets:
-        return [None for _ in fractions]
-    counts = _count_cells(values, brackets)
-    found = _pick(counts, wanted).first()
-    if any(value is None for value in found):
-        raise RuntimeError(f"the sketch of {column} missed a percentile of {wanted}")
-    return [found[wanted.index(float(p))] for p in fractions]
+        return None
+    return _pick(_count_cells(values, brackets, _edges(values, brackets)), wanted)
 
 
 def _brackets(values: DataFrame, wanted: Sequence[float]) -> list[tuple[float, float]]:
-    """A range of values around each percentile that is sure to hold it."""
+    """A range of values around each percentile that holds it, or a value next to it."""
     edges = [max(p - MARGIN, 0.0) for p in wanted] + [min(p + MARGIN, 1.0) for p in wanted]
     sketch = values.agg(
-        F.percentile_approx("v", edges, ACCURACY).alias("at"),
-        F.min("v").alias("low"),
-        F.max("v").alias("high"),
-        F.count("v").alias("total"),
+        F.percentile_approx("v", edges, ACCURACY).alias("at"), F.min("v").alias("low"), F.max("v").alias("high")
     ).first()
-    if not sketch.total:
+    if sketch.low is None:
         return []
-    # With so few rows that neighbours lie further apart than the margin, the bracket is everything.
-    few = sketch.total < ACCURACY
-    return [
-        (
-            sketch.low if few or p <= MARGIN else sketch["at"][i],
-            sketch.high if few or p >= 1 - MARGIN else sketch["at"][len(wanted) + i],
-        )
+    ends = {0.0: (sketch.low, sketch.low), 1.0: (sketch.high, sketch.high)}
+    inner = [
+        (sketch.low if p <= MARGIN else sketch["at"][i], sketch.high if p >= 1 - MARGIN else sketch["at"][len(wanted) + i])
         for i, p in enumerate(wanted)
     ]
+    return [ends.get(p, bracket) for p, bracket in zip(wanted, inner, strict=True)]
+
+
+def _edges(values: DataFrame, brackets: Sequence[tuple[float, float]]) -> list[list[float]]:
+    """Values that cut what lies in each bracket into parts of about equal size."""
+    shares = [i / PARTS for i in range(1, PARTS)]
+    inside = [F.when((F.col("v") >= lo) & (F.col("v") <= hi), F.col("v")) for lo, hi in brackets]
+    row = values.agg(*[F.percentile_approx(v, shares, ACCURACY).alias(f"e{i}") for i, v in enumerate(inside)]).first()
+    return [sorted(set(found or [])) for found in row]
 
 
-def _count_cells(values: DataFrame, brackets: Sequence[tuple[float, float]]) -> DataFrame:
-    """``cell, part, v, n``: the axis cut into cells and parts in value order, with ``v`` only inside brackets.
+def _count_cells(values: DataFrame, brackets: Sequence[tuple[float, float]], edges: Sequence[Sequence[float]]) -> DataFrame:
+    """``cell, part, v, n, low, high``: the axis cut into cells and parts in value order, with ``v`` only inside brackets.
 
     Brackets are sorted and may overlap. The number opened plus the number closed before a value numbers the
     cells, and a value lies inside a bracket while more are open than closed.
@@ -72,15 +81,15 @@ def _count_cells(values: DataFrame, brackets: Sequence[tuple[float, float]]) ->
     opened = reduce(add, [(v >= lo).cast("int") for lo, _ in brackets])
     closed = reduce(add, [(v > hi).cast("int") for _, hi in brackets])
     part = F.lit(0)
-    for lo, hi in brackets:
-        if hi > lo and isfinite(hi - lo):
-            within = F.least(F.floor((v - lo) / (hi - lo) * PARTS), F.lit(PARTS)).cast("int")
+    for (lo, hi), cuts in zip(brackets, edges, strict=True):
+        if cuts:
+            passed = F.size(F.filter(F.array(*[F.lit(e) for e in cuts]), lambda e: e <= v))
             # Any split that keeps the order will do; the last bracket that covers a cell decides for it.
-            part = F.when((v >= lo) & (v <= hi), within).otherwise(part)
+            part = F.when((v >= lo) & (v <= hi), passed).otherwise(part)
     return (
-        values.select((opened + closed).alias("cell"), part.alias("part"), F.when(opened > closed, v).alias("v"))
+        values.select((opened + closed).alias("cell"), part.alias("part"), F.when(opened > closed, v).alias("v"), v.alias("any"))
         .groupBy("cell", "part", "v")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("any").alias("low"), F.max("any").alias("high"))
     )
 
 
@@ -108,9 +117,13 @@ def _pick(counts: DataFrame, wanted: Sequence[float]) -> DataFrame:
         .withColumn("next", F.col("first") + F.sum("n").over(by_value))
         .withColumn("start", F.col("next") - F.col("n"))
     )
-    at_rank = [
-        F.max(F.when((F.col("start") <= r) & (r < F.col("next")), F.col("v"))).alias(f"r{i}") for i, r in enumerate(ranks)
-    ]
+
+    def value_at(rank: Column) -> Column:
+        """The value in a bracket, or the end of a gap; null deeper inside a gap, whose values are not known."""
+        end = F.when(rank == F.col("start"), F.col("low")).when(rank == F.col("next") - 1, F.col("high"))
+        return F.when((F.col("start") <= rank) & (rank < F.col("next")), F.coalesce("v", end))
+
+    at_rank = [F.max(value_at(r)).alias(f"r{i}") for i, r in enumerate(ranks)]
     picked = run.agg(F.max("total").alias("total"), *at_rank)
 
     def interpolated(i: int) -> Column:

@@ -49,7 +49,7 @@ class RunLog:
         try:
             yield counts
         except Exception as error:
-            status, message = "failed", str(error)[:2000]
+            status, message = "failed", str(error)
             raise
         finally:
             fields = ("extracted", "staged", "inserted", "updated", "rejected")
