@@ -9,15 +9,17 @@ from pyspark.sql import functions as F
 TOP, BOTTOM = "hottest", "coldest"
 
 
-def steady_avg(column: str, scale: int | None) -> Column:
-    """Average. With a scale, summed as decimals, so it does not depend on the order rows arrive in."""
-    if scale is None:
-        return F.avg(column)
-    exact = F.sum(F.col(column).cast(f"decimal(18,{scale})"))
+#: Decimal places that values enter a sum with.
+PLACES = 10
+
+
+def steady_avg(column: str, scale: int = PLACES) -> Column:
+    """Average of values summed as decimals, so it does not depend on the order rows arrive in."""
+    exact = F.sum(F.col(column).cast(f"decimal(28,{scale})"))
     return exact.cast("double") / F.count(column)
 
 
-def daily_average(df: DataFrame, day: str, value: str, scale: int | None = None) -> DataFrame:
+def daily_average(df: DataFrame, day: str, value: str, scale: int = PLACES) -> DataFrame:
     """``year, <day>, avg_value``, pre-aggregated before the shuffle."""
     return df.groupBy(F.year(day).alias("year"), F.col(day)).agg(steady_avg(value, scale).alias("avg_value"))
 

@@ -61,8 +61,8 @@ def clean_layer(typed: DataFrame, low: float = 0.05, high: float = 0.95) -> Data
     return trim(typed, "temp_c", low, high).where(F.col("noted_date").isNotNull())
 
 
-def yearly_extremes(clean: DataFrame, n: int = 5, scale: int | None = None) -> DataFrame:
-    daily = daily_average(clean, "noted_date", "temp_c", scale).withColumnRenamed("avg_value", "avg_temp_c")
+def yearly_extremes(clean: DataFrame, n: int = 5) -> DataFrame:
+    daily = daily_average(clean, "noted_date", "temp_c").withColumnRenamed("avg_value", "avg_temp_c")
     return extremes(daily, "noted_date", n, "avg_temp_c")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from martloom.operators.extremes import daily_average, extremes, in_report_order
 from martloom.operators.hashload import full_rows, incremental_rows
-from martloom.operators.outliers import percentiles, trim
+from martloom.operators.outliers import percentile_row, trim
 from martloom.plans import temperature
 from martloom.queries import inputs
 from martloom.queries.registry import query, table
@@ -21,23 +21,15 @@ from martloom.sources.documents import since
 FIRST_RUN, SECOND_RUN = datetime(2024, 1, 21, 6, 0), datetime(2024, 2, 1, 6, 0)
 
 
-ROWS_PER_SLICE = 2_000_000
-
-
-def new_warehouse(spark: SparkSession, root: str, source: DataFrame) -> Warehouse:
-    """A warehouse for one query, sliced by the rows of its source (a count from the file footers).
-
-    Four slices at least, and no more than the session has shuffle partitions.
-    """
-    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return Warehouse.create(spark, root, max(min(4, most), min(most, source.count() // ROWS_PER_SLICE)))
+#: Slices of the queries' warehouses: a few GB each at full size, however small the tables at hand.
+SLICES = 4
 
 
 @query(
     "outlier_trim",
     """
-    WITH b AS (SELECT quantile_cont(value, 0.05) AS lo, quantile_cont(value, 0.95) AS hi FROM events WHERE value IS NOT NULL)
-    SELECT event_id, value FROM events, b WHERE value BETWEEN lo AND hi
+    SELECT event_id, value FROM events
+    WHERE value >= (SELECT quantile_cont(value, 0.05) FROM events) AND value <= (SELECT quantile_cont(value, 0.95) FROM events)
     """,
 )
 def outlier_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,19 +44,22 @@ def outlier_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def percentile_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = percentiles(table(spark, sf_dir, "lineitem"), "l_extendedprice", [0.05, 0.5, 0.95, 1.0])
-    return spark.createDataFrame([tuple(round(p, 6) for p in found)], "p05 DOUBLE, p50 DOUBLE, p95 DOUBLE, p100 DOUBLE")
+    found = percentile_row(table(spark, sf_dir, "lineitem"), "l_extendedprice", [0.05, 0.5, 0.95, 1.0])
+    return found.select(*[F.round(f"p{i}", 6).alias(name) for i, name in enumerate(["p05", "p50", "p95", "p100"])])
 
 
 @query(
     "daily_extremes",
     """
-    WITH daily AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(o_orderdate AS DATE) AS noted_date,
-                          CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(o_totalprice) AS a FROM orders GROUP BY 1, 2),
-    hottest AS (SELECT *, 'hottest' AS kind, row_number() OVER (PARTITION BY year ORDER BY a DESC, noted_date ASC) AS rn FROM daily),
-    coldest AS (SELECT *, 'coldest' AS kind, row_number() OVER (PARTITION BY year ORDER BY a ASC, noted_date ASC) AS rn FROM daily)
-    SELECT year, noted_date, round(a, 4) AS avg_value, kind, CAST(rn AS INTEGER) AS rank_in_kind
-    FROM (SELECT * FROM hottest UNION ALL SELECT * FROM coldest) WHERE rn <= 5
+    WITH means AS (
+      SELECT CAST(o_orderdate AS DATE) AS d, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(o_totalprice) AS a
+      FROM orders GROUP BY CAST(o_orderdate AS DATE))
+    SELECT y AS year, unnest(days).d AS noted_date, round(unnest(days).a, 4) AS avg_value, kind,
+           CAST(generate_subscripts(days, 1) AS INTEGER) AS rank_in_kind
+    FROM (
+      SELECT CAST(year(d) AS INTEGER) AS y, 'hottest' AS kind, list({'d': d, 'a': a} ORDER BY a DESC, d)[1:5] AS days FROM means GROUP BY 1
+      UNION ALL
+      SELECT CAST(year(d) AS INTEGER), 'coldest', list({'d': d, 'a': a} ORDER BY a, d)[1:5] FROM means GROUP BY 1)
     """,
 )
 def daily_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +102,7 @@ def row_hash_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 def target_full_then_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same loads as jobs on a stored target with a stored watermark."""
     readings = inputs.day_readings(spark, sf_dir)
-    wh = new_warehouse(spark, workspace(spark, "target"), readings)
+    wh = Warehouse.create(spark, workspace(spark, "target"), SLICES)
     temperature.load_target(wh, readings.where(F.col("noted_date") <= F.lit(date(2024, 1, 20))), "full", FIRST_RUN)
     temperature.load_target(wh, readings, "incremental", SECOND_RUN)
     return wh.read("target", temperature.TARGET)
@@ -133,7 +128,7 @@ def incremental_extract_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def watermark_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seeded rows, two sources advanced to their newest row, one that had nothing to load."""
-    wh = new_warehouse(spark, workspace(spark, "watermarks"), table(spark, sf_dir, "events"))
+    wh = Warehouse.create(spark, workspace(spark, "watermarks"), SLICES)
     fields = {"events": "ts", "orders": "o_orderdate", "idle": "ts"}
     seed_watermarks(wh, fields)
     current = seed_watermarks(wh, fields)

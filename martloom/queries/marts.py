@@ -24,18 +24,24 @@ def session_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-ACTIVITY_SQL = """
-WITH s AS (SELECT CAST(user_id AS VARCHAR) AS user_id, ts, event_type, CAST(round(CAST(value AS DECIMAL(18,6)), 0) AS INTEGER) AS d,
-                  CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, length(event_type) AS n FROM events),
-fav AS (SELECT user_id, event_type FROM (
-          SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, event_type ASC NULLS LAST) AS rn
-          FROM s GROUP BY user_id, event_type) WHERE rn = 1)
-SELECT s.user_id, count(*) AS total_sessions,
-       CAST(floor(CAST(sum(d) AS DECIMAL(24,4)) * 100 / count(d) + 0.5) / 100 AS DECIMAL(12,2)) AS avg_session_duration_seconds,
-       CAST(sum(k) AS BIGINT) AS total_pages_visited, CAST(sum(n) AS BIGINT) AS total_actions, max(ts) AS last_session_at,
-       fav.event_type AS favorite_device_type
-FROM s LEFT JOIN fav ON s.user_id = fav.user_id GROUP BY s.user_id, fav.event_type
-"""
+def activity_sql(sessions: str) -> str:
+    """The mart over any statement with user_id, device, seconds, pages, actions and started.
+
+    The favourite is the key of the largest count in a histogram of each user's devices, the first by name among equals.
+    """
+    return f"""
+    SELECT user_id, count(*) AS total_sessions,
+           CAST(floor(CAST(sum(seconds) AS DECIMAL(24,4)) * 100 / count(seconds) + 0.5) / 100 AS DECIMAL(12,2)) AS avg_session_duration_seconds,
+           CAST(sum(pages) AS BIGINT) AS total_pages_visited, CAST(sum(actions) AS BIGINT) AS total_actions, max(started) AS last_session_at,
+           list_sort(list_filter(map_entries(histogram(device)), lambda e: e.value = list_max(map_values(histogram(device)))))[1].key AS favorite_device_type
+    FROM ({sessions}) GROUP BY user_id
+    """
+
+
+ACTIVITY_SQL = activity_sql(
+    "SELECT CAST(user_id AS VARCHAR) AS user_id, event_type AS device, CAST(round(CAST(value AS DECIMAL(18,6)), 0) AS INTEGER) AS seconds,"
+    " CAST(json_extract_string(props, '$.k') AS INTEGER) AS pages, length(event_type) AS actions, ts AS started FROM events"
+)
 
 
 @query("user_activity_mart", ACTIVITY_SQL)

@@ -11,7 +11,8 @@ from martloom.functions.times import moment
 from martloom.plans import incremental, marts, warehouse
 from martloom.plans.warehouse import SOURCES
 from martloom.queries import inputs
-from martloom.queries.loading import new_warehouse
+from martloom.queries.loading import SLICES
+from martloom.queries.marts import activity_sql
 from martloom.queries.registry import query
 from martloom.session import workspace
 from martloom.sinks.runlog import JOB_LOG
@@ -25,7 +26,7 @@ FIRST_RUN, SECOND_RUN = datetime(2024, 2, 1, 6, 0), datetime(2024, 2, 2, 6, 0)
 def two_runs(spark: SparkSession, source: str, docs: DataFrame, half: datetime) -> Warehouse:
     """The source as it stood at ``half``, then as it stands at the end; the second run takes what is new."""
     field = SOURCES[source].spec.watermark_field
-    wh = new_warehouse(spark, workspace(spark, source), docs)
+    wh = Warehouse.create(spark, workspace(spark, source), SLICES)
     incremental.run(wh, {source: docs.where(F.col(field) < moment(half))}, FIRST_RUN)
     incremental.run(wh, {source: docs}, SECOND_RUN)
     return wh
@@ -104,17 +105,12 @@ def gated_run_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "gated_run_marts",
-    f"""
-    WITH s AS ({SESSION_SQL}),
-    fav AS (SELECT user_id, device_type FROM (
-              SELECT user_id, device_type, row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, device_type) AS rn
-              FROM s GROUP BY user_id, device_type) WHERE rn = 1)
-    SELECT s.user_id, count(*) AS total_sessions,
-           CAST(floor(CAST(sum(session_duration_seconds) AS DECIMAL(24,4)) * 100 / count(session_duration_seconds) + 0.5) / 100 AS DECIMAL(12,2)) AS avg_session_duration_seconds,
-           CAST(sum(pages_visited_count) AS BIGINT) AS total_pages_visited, CAST(sum(actions_count) AS BIGINT) AS total_actions,
-           max(start_time) AS last_session_at, fav.device_type AS favorite_device_type, TIMESTAMP '2024-02-02 06:00:00' AS updated_at
-    FROM s LEFT JOIN fav ON s.user_id = fav.user_id GROUP BY s.user_id, fav.device_type
-    """,
+    "SELECT *, TIMESTAMP '2024-02-02 06:00:00' AS updated_at FROM ("
+    + activity_sql(
+        "SELECT user_id, device_type AS device, session_duration_seconds AS seconds, pages_visited_count AS pages,"
+        f" actions_count AS actions, start_time AS started FROM ({SESSION_SQL})"
+    )
+    + ")",
 )
 def gated_run_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = two_runs(spark, "user_sessions", inputs.session_docs(spark, sf_dir), HALF)
@@ -154,7 +150,7 @@ def staging_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as staged documents, the batch written twice under one id as after a retry."""
     source, batch_id = SOURCES["event_logs"], "event_logs_20240201T060000"
     docs = inputs.event_docs(spark, sf_dir)
-    wh = new_warehouse(spark, workspace(spark, "staging"), docs)
+    wh = Warehouse.create(spark, workspace(spark, "staging"), SLICES)
     for _ in range(2):
         incremental.stage(wh, source, docs, batch_id, FIRST_RUN)
     return wh.staging("event_logs", source.spec.staging_schema).drop("id")

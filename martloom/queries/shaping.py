@@ -237,12 +237,13 @@ def clean_layer_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return temperature.typed_readings(inputs.temperature_text(spark, sf_dir))
 
 
+BOUND = f"(SELECT quantile_cont(temp_c, %s) FROM ({CLEAN_TYPED}))"
+
+
 @query(
     "clean_layer",
     f"""
-    WITH base AS ({CLEAN_TYPED}),
-    bounds AS (SELECT quantile_cont(temp_c, 0.05) AS lo, quantile_cont(temp_c, 0.95) AS hi FROM base WHERE temp_c IS NOT NULL)
-    SELECT base.* FROM base, bounds WHERE temp_c IS NOT NULL AND noted_date IS NOT NULL AND temp_c BETWEEN lo AND hi
+    SELECT * FROM ({CLEAN_TYPED}) WHERE noted_date IS NOT NULL AND temp_c BETWEEN {BOUND % 0.05} AND {BOUND % 0.95}
     """,
 )
 def clean_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,25 +266,24 @@ def header_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "csv_to_extremes",
     f"""
-    WITH base AS ({CLEAN_TYPED}),
-    bounds AS (SELECT quantile_cont(temp_c, 0.05) AS lo, quantile_cont(temp_c, 0.95) AS hi FROM base WHERE temp_c IS NOT NULL),
-    daily AS (SELECT CAST(year(noted_date) AS INTEGER) AS year, noted_date,
-                     CAST(sum(CAST(temp_c AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS a
-              FROM base, bounds WHERE temp_c BETWEEN lo AND hi GROUP BY 1, 2),
-    ranked AS (SELECT *, row_number() OVER (PARTITION BY year ORDER BY a DESC, noted_date) AS top,
-                      row_number() OVER (PARTITION BY year ORDER BY a, noted_date) AS low FROM daily)
-    SELECT year, noted_date, round(a, 4) AS avg_temp_c, 'hottest' AS kind, CAST(top AS INTEGER) AS rank_in_kind FROM ranked WHERE top <= 5
-    UNION ALL SELECT year, noted_date, round(a, 4), 'coldest', CAST(low AS INTEGER) FROM ranked WHERE low <= 5
+    WITH means AS (
+      SELECT noted_date AS d, CAST(sum(CAST(temp_c AS DECIMAL(38,10))) / count(*) AS DOUBLE) AS a
+      FROM ({CLEAN_TYPED}) WHERE temp_c BETWEEN {BOUND % 0.05} AND {BOUND % 0.95} GROUP BY noted_date),
+    ends AS (
+      SELECT CAST(year(d) AS INTEGER) AS year, 'hottest' AS kind, list({{'d': d, 'a': a}} ORDER BY a DESC, d)[1:5] AS days FROM means GROUP BY 1
+      UNION ALL
+      SELECT CAST(year(d) AS INTEGER), 'coldest', list({{'d': d, 'a': a}} ORDER BY a, d)[1:5] FROM means GROUP BY 1)
+    SELECT year, unnest(days).d AS noted_date, round(unnest(days).a, 4) AS avg_temp_c, kind,
+           CAST(generate_subscripts(days, 1) AS INTEGER) AS rank_in_kind FROM ends
     """,
 )
 def csv_to_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole job: CSV files, text staging, clean layer, extremes."""
+    """The whole job: CSV files, text staging, clean layer, the extremes it writes."""
     work = workspace(spark, "temperature")
     inputs.temperature_text(spark, sf_dir).withColumnRenamed("out_in", "out/in").write.option("header", True).csv(f"{work}/in")
     temperature.build_clean(spark, f"{work}/in", work)
-    clean = spark.read.parquet(f"{work}/clean")
-    rows = temperature.yearly_extremes(clean, scale=2)
-    return rows.withColumn("avg_temp_c", F.round("avg_temp_c", 4))
+    temperature.build_extremes(spark, work)
+    return spark.read.parquet(f"{work}/extremes").withColumn("avg_temp_c", F.round("avg_temp_c", 4))
 
 
 @query("defaults_and_nulls", "SELECT p_partkey, p_name, 0 AS stock, CAST(NULL AS VARCHAR) AS note, 'part' AS source FROM part")

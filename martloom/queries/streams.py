@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from martloom.plans import warehouse
 from martloom.plans.warehouse import SOURCES
 from martloom.queries import inputs
-from martloom.queries.loading import new_warehouse
+from martloom.queries.loading import SLICES
 from martloom.queries.pipelines import FIRST_RUN
 from martloom.queries.registry import query, table
 from martloom.session import workspace
@@ -81,7 +81,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = workspace(spark, "upserts")
     source = SOURCES["support_tickets"]
     docs = inputs.ticket_docs(spark, sf_dir, key="o_custkey")
-    wh = new_warehouse(spark, f"{work}/warehouse", docs)
+    wh = Warehouse.create(spark, f"{work}/warehouse", SLICES)
     newer = F.year("created_at") >= 1998
     for part in (newer, ~newer):
         docs.where(part).write.mode("append").parquet(f"{work}/source")
