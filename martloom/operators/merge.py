@@ -23,7 +23,7 @@ def upsert(
     modified: str | None = None,
     with_action: bool = False,
 ) -> DataFrame:
-    """Rows of the target with the updates merged in. Keys must be unique in both.
+    """Rows of the target with the updates merged in. Keys must be unique in both; null keys equal each other.
 
     A matched row takes ``columns`` from the update and keeps the rest; an unmatched update is inserted.
     ``created`` is stamped on insert only, ``modified`` on both. ``with_action`` adds a column that tells
@@ -31,7 +31,7 @@ def upsert(
     """
     old = target.withColumn("_old", F.lit(True))
     fresh = updates.select(*[F.col(c).alias(f"_u_{c}") for c in updates.columns], F.lit(True).alias("_new"))
-    on = [F.col(k) == F.col(f"_u_{k}") for k in keys]
+    on = [F.col(k).eqNullSafe(F.col(f"_u_{k}")) for k in keys]
     joined = old.join(fresh, on, "full_outer")
     inserted, arrived = F.col("_old").isNull(), F.col("_new").isNotNull()
     stamp = moment(run_ts)
@@ -85,12 +85,13 @@ def touch(target: DataFrame, rows: DataFrame, key: str, stamp: str, run_ts: date
 
 
 def replace_children(target: DataFrame, parents: DataFrame, children: DataFrame, key: str) -> DataFrame:
-    """Children of the given parents replaced; all others kept.
+    """Children of the given parents replaced; all others kept. Null keys equal each other.
 
     The anti join lets adaptive execution split a parent with very many children; a small parent side is
     broadcast by its measured size.
     """
-    kept = target.join(parents.select(key).distinct(), key, "left_anti")
+    replaced = parents.select(F.col(key).alias("_replaced")).distinct()
+    kept = target.join(replaced, F.col(key).eqNullSafe(F.col("_replaced")), "left_anti")
     return kept.unionByName(children.select(*target.columns))
 
 

@@ -69,7 +69,8 @@ def merge(wh: Warehouse, source: Source, batch_id: str, run_ts: datetime) -> Mer
 
     ``latest/<source>`` keeps the winning raw document of every key, so a merge folds the batch into the
     slices it touches and never re-reads older batches. Slices in which no key of the batch is known are not
-    read or rewritten: the batch only adds to them. All tables become current in one commit.
+    read or rewritten: the batch only adds to them. All tables become current in one commit, which is refused,
+    and the version left invisible, when a required column is null, a key repeats or a child has no parent.
     """
     spec, key = source.spec, source.key
     slice_of = wh.key_slice(key)
@@ -83,7 +84,9 @@ def merge(wh: Warehouse, source: Source, batch_id: str, run_ts: datetime) -> Mer
     raw_schema = f"{spec.staging_schema}, {MERGED} BOOLEAN"
 
     known_keys = now.read(raw_table, f"{key} STRING", slices)
-    hit = touched_slices(arrived.select(key).distinct().join(known_keys, key, "left_semi"), slice_of)
+    known_keys = known_keys.select(F.col(key).alias("_known"))
+    met = arrived.select(key).distinct().join(known_keys, F.col(key).eqNullSafe(F.col("_known")), "left_semi")
+    hit = touched_slices(met, slice_of)
     known = now.read(raw_table, raw_schema, hit)
     winners = fold_latest(known, arrived, key, spec.staged_field, ["batch_id", "id"], MERGED)
     wh.write_version(winners, raw_table, version, slice_of)
@@ -104,6 +107,10 @@ def merge(wh: Warehouse, source: Source, batch_id: str, run_ts: datetime) -> Mer
             done.result()
         counts = parent.result()
 
+    # Parent and children of a key share a slice, so what the version wrote can be judged by itself.
+    written = {t: wh.read_version(t, version, schema) for t, schema in source.schemas()}
+    named = check(written[source.table], not_null(spec.name, key))
+    gate(all_checks([named, *constraints(source, written)]))
     tables = [raw_table, source.table, *[c.table for c in source.children]]
     wh.commit(now.next_seq, version, tables, hit, run_ts, added=set(slices) - set(hit))
     return MergeCounts(*counts, 0 if rejected is None else rejected.count())
@@ -122,21 +129,25 @@ def _merge_parent(now: Snapshot, source: Source, rows: DataFrame, slices: list[i
     return row["insert"], row["update"]
 
 
-def source_checks(wh: Warehouse | Snapshot, source: Source) -> DataFrame:
-    """All rules of a source: its checks and required columns in one scan, unique keys, no orphans."""
-    name = source.spec.name
-    parent = wh.read(source.table, source.schema)
-    rules = [*source.rules(), *not_null(name, *source.required)]
-    results = [check(parent, rules), check_unique(parent, f"{name}_duplicate_{source.key}", [source.key])]
+def constraints(source: Source, tables: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """Required columns, unique keys and no orphans in the given tables of a source, by name."""
+    name, parent = source.spec.name, tables[source.table]
+    results = [check(parent, not_null(name, *source.required)), check_unique(parent, f"{name}_duplicate_{source.key}", [source.key])]
     for child in source.children:
-        table = child.table.split("/")[-1]
-        rows = wh.read(child.table, child.schema)
+        table, rows = child.table.split("/")[-1], tables[child.table]
         order = next(c for c in rows.columns if c.endswith("_order"))
         if child.required:
             results.append(check(rows, not_null(table, *child.required)))
         results.append(check_unique(rows, f"{table}_duplicate_{order}", [source.key, order]))
         results.append(check_parent(rows, parent, f"{table}_orphan", source.key, source.key))
-    return reduce(DataFrame.unionByName, results)
+    return results
+
+
+def source_checks(wh: Warehouse | Snapshot, source: Source) -> DataFrame:
+    """All rules of a source over its whole tables."""
+    tables = {name: wh.read(name, schema) for name, schema in source.schemas()}
+    rules = check(tables[source.table], source.rules())
+    return reduce(DataFrame.unionByName, [rules, *constraints(source, tables)])
 
 
 def quality_report(wh: Warehouse, names: list[str] | None = None) -> DataFrame:
@@ -153,8 +164,8 @@ def run(
 ) -> dict[str, MergeCounts]:
     """One incremental run over the given collections.
 
-    If a check fails the merged rows stay but no watermark moves: the next run extracts the same rows
-    again and merging them once more changes nothing.
+    A batch that breaks a constraint is not committed. If a rule fails after the merge, the merged rows stay but no
+    watermark moves: the next run extracts the same rows again and merging them once more changes nothing.
     """
     log = RunLog(wh, run_id or new_run_id())
     watermarks = seed_watermarks(wh, {n: SOURCES[n].spec.watermark_field for n in collections})
@@ -172,7 +183,8 @@ def run(
                 counts.update(inserted=merged.inserted, updated=merged.updated, rejected=merged.rejected)
             batches[name], results[name] = batch, merged
         with log.step("quality"):
-            gate(quality_report(wh, list(collections)))
+            now = wh.snapshot()
+            gate(all_checks([check(now.read(s.table, s.schema), s.rules()) for s in map(SOURCES.get, collections)]))
         for name, batch in batches.items():
             with log.step("watermark", name, batch_name(name, run_ts, "watermark")):
                 advance_watermark(wh, name, SOURCES[name].spec.watermark_field, batch.newest, watermarks[name], run_ts)

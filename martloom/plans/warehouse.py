@@ -156,7 +156,12 @@ class Source:
     def key(self) -> str:
         return self.spec.key
 
+    def schemas(self) -> list[tuple[str, str]]:
+        """Name and schema of the parent table and of each child table."""
+        return [(self.table, self.schema), *[(c.table, c.schema) for c in self.children]]
 
+
+# The names of the checks.
 def session_rules() -> list[Rule]:
     late = F.col("end_time").isNotNull() & (F.col("start_time") > F.col("end_time"))
     return [

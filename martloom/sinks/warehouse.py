@@ -1,10 +1,10 @@
 """Warehouse tables on plain Parquet: sliced by key, replaced slice by slice, committed together.
 
 A table is a folder of ``version=<v>/slice=<n>`` folders. A merge writes the slices it changed to a new
-version folder, and one append to ``meta/commits`` makes them current for all its tables at once. A slice
+version folder, and one write below ``meta/commits`` makes them current for all its tables at once. A slice
 in which no known key changed is not rewritten: the commit only adds the new rows to it. Nothing that is
-being read is overwritten, a failed run leaves no trace in the result, and the work of a merge follows what
-it changes, not the table.
+being read is overwritten, and a failed run leaves no trace in the result. A merge rewrites whole slices: with
+keys sliced by hash, a batch of more known keys than there are slices rewrites nearly all of them.
 """
 
 from __future__ import annotations
@@ -83,7 +83,7 @@ class Snapshot:
         return sorted({s for owned in self.live.get(table, {}).values() for s in owned})
 
     def read(self, table: str, schema: str, slices: Iterable[int] | None = None) -> DataFrame:
-        """Current rows of a table, or of some slices of it: other folders are not even listed."""
+        """Current rows of a table, or of some slices of it: files of other slices are not read."""
         wanted = None if slices is None else set(slices)
         versions = {
             version: [s for s in owned if wanted is None or s in wanted]
@@ -139,7 +139,9 @@ class Warehouse:
     # ---- sliced tables -------------------------------------------------------------------------------
 
     def commits(self) -> DataFrame:
-        return read_or_empty(self.spark, self.path("meta/commits"), COMMITS)
+        """Every commit is a folder of its own, named by its number."""
+        create_if_missing(self.spark, self.path("meta/commits/0"), COMMITS)
+        return self.spark.read.schema(COMMITS).option("recursiveFileLookup", True).parquet(self.path("meta/commits"))
 
     def snapshot(self) -> Snapshot:
         """What is current now: for each slice its last replacement and what was added after that.
@@ -191,10 +193,12 @@ class Warehouse:
         """Make what the version wrote current, for all tables in one write.
 
         In ``replaced`` slices it takes the place of what was there, even if it wrote no row to them; to
-        ``added`` slices it adds its rows.
+        ``added`` slices it adds its rows. A number can be committed once: of two writers that began from one
+        snapshot the second fails, and what it wrote stays invisible.
         """
         lists = sorted(replaced), sorted(added)
-        append_rows(self.spark, [(seq, version, table, *lists, at) for table in tables], COMMITS, self.path("meta/commits"))
+        rows = local_rows(self.spark, [(seq, version, table, *lists, at) for table in tables], COMMITS)
+        rows.write.mode("errorifexists").parquet(self.path(f"meta/commits/{seq}"))
 
     def compact(self, table: str, schema: str, slice_of: Column, at: datetime) -> None:
         """Rewrite the slices that several versions have added to, each as one version."""
