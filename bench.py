@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -69,8 +68,6 @@ def main() -> None:
         "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     spark = session("martloom-bench", **conf)
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="martloom-bench-"))
     spark.sparkContext.setLogLevel("ERROR")
     chosen = sys.argv[1:] or HEADLINE + JOBS
     times = {}

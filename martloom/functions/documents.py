@@ -18,9 +18,12 @@ def to_document(columns: Sequence[str | Column]) -> Column:
     return F.to_json(F.struct(*columns), options)
 
 
-def parse_document(doc: str | Column, schema: T.StructType | str) -> Column:
-    """Parse once; pick fields from the result instead of re-reading the text per field."""
-    return F.from_json(doc, schema)
+def parse_document(doc: str | Column, schema: T.StructType | str, strict: bool = True) -> Column:
+    """Parse once; pick fields from the result instead of re-reading the text per field.
+
+    Strict, a text that is no document of this schema fails the job; otherwise what cannot be read is null.
+    """
+    return F.from_json(doc, schema, {"mode": "FAILFAST" if strict else "PERMISSIVE"})
 
 
 def sub_document(doc: str | Column, path: str) -> Column:

@@ -53,5 +53,10 @@ def latest_payload(landed: DataFrame, source: str, file_type: str) -> DataFrame:
 
 
 def latest_payloads(landed: DataFrame) -> DataFrame:
-    """The payload landed last, for every source."""
-    return latest_version(landed, ["source", "file_type"], newest_first("loaded_at", "raw_id"))
+    """The payload landed last, for every source. Only its id is looked up first, so no payload is sorted."""
+    rank = F.struct(F.col("loaded_at").isNull().alias("open"), "loaded_at", "raw_id")
+    newest = landed.groupBy("source", "file_type").agg(F.max(rank).alias("_newest"))
+    keys = newest.select(F.col("source").alias("_source"), F.col("file_type").alias("_type"), "_newest.loaded_at", "_newest.raw_id")
+    keys = keys.withColumnsRenamed({"loaded_at": "_at", "raw_id": "_id"})
+    same = [F.col(a).eqNullSafe(F.col(b)) for a, b in (("source", "_source"), ("file_type", "_type"), ("loaded_at", "_at"), ("raw_id", "_id"))]
+    return landed.join(keys, same, "left_semi")

@@ -17,7 +17,7 @@ from martloom.operators.merge import insert_ignore
 from martloom.operators.shape import required
 from martloom.operators.shred import ITEM, POSITION, first_of_each, items
 from martloom.sinks.warehouse import read_or_empty
-from martloom.sources.files import LANDED, landed_files
+from martloom.sources.files import LANDED, landed_files, mode_of
 
 PETS = (
     "pets ARRAY<STRUCT<name: STRING, species: STRING, favFoods: ARRAY<STRING>, birthYear: STRING, photo: STRING>>"
@@ -44,7 +44,7 @@ AMOUNTS = {
 
 def pet_records(landed: DataFrame, strict: bool = True) -> DataFrame:
     """One row per pet with its foods still nested; of pets with one name in a file the first counts."""
-    parsed = landed.select("raw_id", parse_document("payload", PETS).alias("doc"))
+    parsed = landed.select("raw_id", parse_document("payload", PETS, strict).alias("doc"))
     found = items(parsed, "doc.pets", ["raw_id"]).select("raw_id", POSITION, f"{ITEM}.*")
     name = required(F.col("name"), "pet name") if strict else F.col("name")
     year = F.col("birthYear")
@@ -73,7 +73,7 @@ def pet_fav_foods(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 def nutrition_foods(landed: DataFrame, strict: bool = True) -> DataFrame:
     """Food elements of landed XML with their numbers typed. Other elements of the file are not read."""
-    options = {"ignoreSurroundingSpaces": "false"}
+    options = {"ignoreSurroundingSpaces": "false", "mode": mode_of(strict)}
     parsed = landed.select("raw_id", F.from_xml("payload", NUTRITION, options).alias("doc"))
     foods = items(parsed, "doc.food", ["raw_id"]).select("raw_id", POSITION, f"{ITEM}.*")
     rows = foods.select(

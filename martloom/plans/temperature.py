@@ -68,7 +68,7 @@ def yearly_extremes(clean: DataFrame, n: int = 5) -> DataFrame:
 
 def build_clean(spark: SparkSession, source: str | list[str], root: str, strict: bool = True, optional: dict[str, str] | None = None) -> None:
     """CSV -> staging as text -> typed -> clean. Typed rows are written, as the trim reads them three times."""
-    overwrite(csv_text(spark, source), f"{root}/staging")
+    overwrite(csv_text(spark, source, strict=strict), f"{root}/staging")
     typed = typed_readings(spark.read.parquet(f"{root}/staging"), strict, optional)
     overwrite(typed, f"{root}/typed")
     overwrite(clean_layer(read_or_empty(spark, f"{root}/typed", CLEAN)), f"{root}/clean")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,12 +31,11 @@ def session(app_name: str = "martloom", **conf: str) -> SparkSession:
 def workspace(spark: SparkSession, name: str) -> str:
     """A fresh folder for written intermediate tables, below the cluster's shared checkpoint folder.
 
-    Only a local master may fall back to a temporary folder of this machine: on a cluster the
-    executors would each write to a disk of their own.
+    Without one, a local master takes a folder below the warehouse directory; on a cluster it must be set.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="martloom-")
+        shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/work"
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

@@ -13,12 +13,18 @@ from martloom.functions.headers import check_header, with_clean_header
 LANDED = "raw_id BIGINT, source STRING, file_type STRING, payload STRING, loaded_at TIMESTAMP_NTZ"
 
 
-def nested_json(spark: SparkSession, path: str | list[str], schema: T.StructType | str, multiline: bool = True) -> DataFrame:
-    """Nested records with a declared schema, so no extra pass infers one.
+def mode_of(strict: bool) -> str:
+    """How a reader treats a record that does not fit: it stops, or gives nulls."""
+    return "FAILFAST" if strict else "PERMISSIVE"
+
+
+def nested_json(spark: SparkSession, path: str | list[str], schema: T.StructType | str, multiline: bool = True, strict: bool = True) -> DataFrame:
+    """Nested records with a declared schema, so no extra pass infers one. A strict read fails on a broken record.
 
     A multi-line file is read by one task; many files, or JSON lines, spread the work.
     """
-    return spark.read.schema(schema).option("multiLine", multiline).json(path)
+    reader = spark.read.schema(schema).option("mode", mode_of(strict))
+    return reader.option("multiLine", multiline).json(path)
 
 
 def landed_files(spark: SparkSession, path: str | list[str], file_type: str, loaded_at: Column | None = None) -> DataFrame:
@@ -38,11 +44,14 @@ def landed_files(spark: SparkSession, path: str | list[str], file_type: str, loa
     )
 
 
-def xml_records(spark: SparkSession, path: str | list[str], row_tag: str, schema: T.StructType | str) -> DataFrame:
-    """One row per element; text keeps its surrounding spaces."""
+def xml_records(
+    spark: SparkSession, path: str | list[str], row_tag: str, schema: T.StructType | str, strict: bool = True
+) -> DataFrame:
+    """One row per element; text keeps its surrounding spaces. A strict read fails on a broken element."""
     return (
         spark.read.format("xml")
         .schema(schema)
+        .option("mode", mode_of(strict))
         .option("rowTag", row_tag)
         .option("ignoreSurroundingSpaces", False)
         .load(path)
@@ -62,15 +71,25 @@ def first_csv(spark: SparkSession, folder: str) -> str:
     return path
 
 
-def csv_text(spark: SparkSession, path: str | list[str], expected: Sequence[str] | None = None) -> DataFrame:
+def csv_text(
+    spark: SparkSession,
+    path: str | list[str],
+    expected: Sequence[str] | None = None,
+    strict: bool = True,
+    multiline: bool = False,
+) -> DataFrame:
     """Header CSV with every column as text under its cleaned name.
 
+    A strict read fails on a row with too few or too many fields. ``multiline`` reads fields with line breaks in quotes;
+    such a file is read by one task.
+
     The first file's header sets the schema, and Spark then holds every other file's header against it
     while it scans: a file with other columns fails the read in place of shifting values.
     """
-    reader = spark.read.option("header", True).option("pathGlobFilter", "*.csv").option("escape", '"')
+    reader = spark.read.option("header", True).option("pathGlobFilter", "*.csv").option("escape", '"').option("multiLine", multiline)
     header = reader.csv(path).columns
     if expected is not None:
         check_header(header, expected)
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    return with_clean_header(reader.schema(schema).option("enforceSchema", False).csv(path))
+    rows = reader.schema(schema).option("enforceSchema", False).option("mode", mode_of(strict))
+    return with_clean_header(rows.csv(path))
