@@ -26,8 +26,12 @@ def row_hash(df: DataFrame, columns: Sequence[str]) -> Column:
 
 
 def surrogate_id(*parts: str | Column) -> Column:
-    """A generated id that comes out the same on every retry and re-run."""
-    return F.xxhash64(*parts)
+    """A generated id of 128 bits that comes out the same on every retry and re-run.
+
+    Each part enters with its length in front, and a null as a sign of its own, so no two lists of parts read alike.
+    """
+    texts = [(F.col(p) if isinstance(p, str) else p).cast("string") for p in parts]
+    return F.md5(F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]))
 
 
 def hash_slice(key: str | Column, slices: int) -> Column:

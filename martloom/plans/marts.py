@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.operators.aggregates import distribution, mode, mode_rank, rounded_avg, sum_or_zero
-from martloom.operators.merge import upsert
+from martloom.operators.merge import ACTION, upsert
 from martloom.plans.warehouse import SUPPORT_TICKETS, USER_SESSIONS
 from martloom.sinks.runlog import RunLog
 from martloom.sinks.warehouse import Warehouse
 
+# Columns of the marts.
 USER_ACTIVITY = (
     "user_id STRING, total_sessions BIGINT, avg_session_duration_seconds DECIMAL(12,2), total_pages_visited BIGINT, "
     "total_actions BIGINT, last_session_at TIMESTAMP_NTZ, favorite_device_type STRING, updated_at TIMESTAMP_NTZ"
@@ -81,24 +83,44 @@ def favorite_devices(mart: DataFrame) -> DataFrame:
     return distribution(mart, "favorite_device_type", "users")
 
 
-def build(wh: Warehouse, run_ts: datetime) -> None:
-    """Recompute both marts and merge them in; rows of the marts are never deleted."""
+def _activity(wh: Warehouse, run_ts: datetime) -> tuple[int, int]:
+    rows = user_activity(wh.read("dwh/user_sessions", USER_SESSIONS))
+    return _merge_mart(wh, "mart/user_activity", USER_ACTIVITY, rows, "user_id", run_ts, "updated_at")
+
+
+def _efficiency(wh: Warehouse, run_ts: datetime) -> tuple[int, int]:
+    rows = support_efficiency(wh.read("dwh/support_tickets", SUPPORT_TICKETS))
+    return _merge_mart(wh, "mart/support_efficiency", SUPPORT_EFFICIENCY, rows, "ticket_id", run_ts, None)
+
+
+MARTS = {"user_activity": _activity, "support_efficiency": _efficiency}
+
+
+def build(wh: Warehouse, run_ts: datetime, names: Sequence[str] = tuple(MARTS)) -> None:
+    """Recompute the named marts and merge them in, counts logged; rows of the marts are never deleted."""
+    unknown = set(names) - set(MARTS)
+    if unknown:
+        raise ValueError(f"no such mart: {sorted(unknown)}")
     log = RunLog(wh)
     try:
-        with log.step("build_mart", "user_activity"):
-            rows = user_activity(wh.read("dwh/user_sessions", USER_SESSIONS))
-            _merge_mart(wh, "mart/user_activity", USER_ACTIVITY, rows, "user_id", run_ts, "updated_at")
-        with log.step("build_mart", "support_efficiency"):
-            rows = support_efficiency(wh.read("dwh/support_tickets", SUPPORT_TICKETS))
-            _merge_mart(wh, "mart/support_efficiency", SUPPORT_EFFICIENCY, rows, "ticket_id", run_ts, None)
+        for name in names:
+            with log.step("build_mart", name) as counts:
+                inserted, updated = MARTS[name](wh, run_ts)
+                counts.update(inserted=inserted, updated=updated)
     finally:
         log.flush()
 
 
-def _merge_mart(wh: Warehouse, table: str, schema: str, rows: DataFrame, key: str, run_ts: datetime, modified: str | None) -> None:
+def _merge_mart(
+    wh: Warehouse, table: str, schema: str, rows: DataFrame, key: str, run_ts: datetime, modified: str | None
+) -> tuple[int, int]:
+    """Rows inserted and updated, counted in what was written."""
     columns = [c for c in rows.columns if c != key]
     now = wh.snapshot()
-    merged = upsert(now.read(table, schema), rows, [key], columns, run_ts, modified=modified)
+    merged = upsert(now.read(table, schema), rows, [key], columns, run_ts, modified=modified, with_action=True)
     version = f"{run_ts.strftime('%Y%m%dT%H%M%S')}-{now.next_seq}"
     wh.write_version(merged, table, version, wh.key_slice(key))
+    found = wh.read_version(table, version, f"{ACTION} STRING").groupBy(ACTION).agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = {row[ACTION]: row.n for row in found}
     wh.commit(now.next_seq, version, [table], range(wh.slices), run_ts)
+    return counts.get("insert", 0), counts.get("update", 0)

@@ -14,6 +14,7 @@ from martloom.functions.numbers import amount
 from martloom.functions.times import moment
 from martloom.operators.latest import latest_payload, latest_payloads
 from martloom.operators.merge import insert_ignore
+from martloom.operators.quality import Rule, check
 from martloom.operators.shape import required
 from martloom.operators.shred import ITEM, POSITION, first_of_each, items
 from martloom.sinks.warehouse import read_or_empty
@@ -67,8 +68,8 @@ def pets(records: DataFrame) -> DataFrame:
 
 def pet_fav_foods(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Each food once per pet; pets without foods have no rows. ``keep`` carries columns of the pet along."""
-    foods = items(records, "fav_foods", [F.col("id").alias("pet_id"), *keep])
-    return foods.select("pet_id", *keep, required(F.col(ITEM), "food").alias("food")).distinct()
+    foods = items(records, F.array_distinct("fav_foods"), [F.col("id").alias("pet_id"), *keep])
+    return foods.select("pet_id", *keep, required(F.col(ITEM), "food").alias("food"))
 
 
 def nutrition_foods(landed: DataFrame, strict: bool = True) -> DataFrame:
@@ -88,12 +89,18 @@ def nutrition_foods(landed: DataFrame, strict: bool = True) -> DataFrame:
     return first.select(surrogate_id("raw_id", "name", "mfr").alias("id"), *first.columns)
 
 
-PETS_TABLE = "id BIGINT, name STRING, species STRING, birth_year INT, photo STRING, raw_id BIGINT"
-FOODS_TABLE = "pet_id BIGINT, food STRING"
+def unreadable_payloads(landed: DataFrame, schema: str = PETS) -> DataFrame:
+    """``check_name, error_count``: how many JSON payloads a tolerant load cannot read as a whole."""
+    doc = parse_document("payload", f"{schema}, _corrupt_record STRING", strict=False)
+    return check(landed.select(doc.alias("doc")), [Rule("payloads_unreadable", F.col("doc._corrupt_record").isNotNull())])
+
+
+PETS_TABLE = "id STRING, name STRING, species STRING, birth_year INT, photo STRING, raw_id STRING"
+FOODS_TABLE = "pet_id STRING, food STRING"
 NUTRITION_TABLE = (
-    "id BIGINT, name STRING, mfr STRING, "
+    "id STRING, name STRING, mfr STRING, "
     + ", ".join(f"{name} DECIMAL(10,2)" for name in AMOUNTS)
-    + ", serving_units STRING, raw_id BIGINT"
+    + ", serving_units STRING, raw_id STRING"
 )
 
 

@@ -67,9 +67,15 @@ def yearly_extremes(clean: DataFrame, n: int = 5) -> DataFrame:
 
 
 def build_clean(spark: SparkSession, source: str | list[str], root: str, strict: bool = True, optional: dict[str, str] | None = None) -> None:
-    """CSV -> staging as text -> typed -> clean. Typed rows are written, as the trim reads them three times."""
+    """CSV -> staging as text -> typed -> clean. Typed rows are written, as the trim reads them several times.
+
+    A tolerant load also writes how many texts it could not read to ``rejects``.
+    """
     overwrite(csv_text(spark, source, strict=strict), f"{root}/staging")
-    typed = typed_readings(spark.read.parquet(f"{root}/staging"), strict, optional)
+    raw = spark.read.parquet(f"{root}/staging")
+    if not strict:
+        overwrite(reading_rejects(raw), f"{root}/rejects")
+    typed = typed_readings(raw, strict, optional)
     overwrite(typed, f"{root}/typed")
     overwrite(clean_layer(read_or_empty(spark, f"{root}/typed", CLEAN)), f"{root}/clean")
 
@@ -96,7 +102,7 @@ def load_target(
     now = wh.snapshot()
     version = f"{run_ts.strftime('%Y%m%dT%H%M%S')}-{now.next_seq}"
     try:
-        with log.step(f"target_{mode}", PIPELINE):
+        with log.step(f"target_{mode}", PIPELINE) as counts:
             if mode == "full":
                 rows = full_rows(clean, CLEAN_COLUMNS, NOT_NULL, run_ts)
                 kept = now.slices("target")
@@ -108,8 +114,11 @@ def load_target(
             written = wh.written_slices("target", version)
             # A full load also empties the months that no longer occur.
             wh.commit(now.next_seq, version, ["target"], {*kept, *written}, run_ts)
+            counts["inserted"] = wh.read_version("target", version, TARGET).count()
         with log.step("watermark", PIPELINE):
-            newest = wh.read("target", TARGET).agg(F.max("noted_date")).first()[0]
+            # Slices are months: the newest date lies in the last one.
+            last = wh.snapshot()
+            newest = last.read("target", TARGET, last.slices("target")[-1:]).agg(F.max("noted_date")).first()[0]
             at = None if newest is None else datetime(newest.year, newest.month, newest.day)
             wh.append_log("watermarks", [(PIPELINE, "noted_date", at, run_ts, "success")], WATERMARKS)
     finally:

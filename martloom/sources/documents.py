@@ -26,7 +26,7 @@ class SourceSpec:
     @property
     def staging_schema(self) -> str:
         return (
-            f"id BIGINT, {self.key} STRING, source_doc STRING, {self.staged_field} TIMESTAMP_NTZ, "
+            f"id STRING, {self.key} STRING, source_doc STRING, {self.staged_field} TIMESTAMP_NTZ, "
             "extracted_at TIMESTAMP_NTZ, batch_id STRING"
         )
 

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martloom.functions.hashing import surrogate_id
 from martloom.functions.headers import check_header, with_clean_header
 
-LANDED = "raw_id BIGINT, source STRING, file_type STRING, payload STRING, loaded_at TIMESTAMP_NTZ"
+LANDED = "raw_id STRING, source STRING, file_type STRING, payload STRING, loaded_at TIMESTAMP_NTZ"
 
 
 def mode_of(strict: bool) -> str:
@@ -39,7 +40,7 @@ def landed_files(spark: SparkSession, path: str | list[str], file_type: str, loa
         F.col("value").alias("payload"),
         stamp.cast("timestamp_ntz").alias("loaded_at"),
     )
-    return rows.withColumn("raw_id", F.xxhash64("source", "file_type", "loaded_at", "payload")).select(
+    return rows.withColumn("raw_id", surrogate_id("source", "file_type", "loaded_at", "payload")).select(
         "raw_id", "source", "file_type", "payload", "loaded_at"
     )
 
