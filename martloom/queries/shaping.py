@@ -174,13 +174,14 @@ def pets_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "json_parent_rows",
     """
-    SELECT o_orderkey AS raw_id, o_orderpriority AS name, 'Cat' AS species, CAST(year(o_orderdate) AS INTEGER) AS birth_year,
-           CAST(NULL AS VARCHAR) AS photo FROM orders
-    UNION ALL SELECT o_orderkey, o_orderstatus, 'Dog', CAST(year(o_orderdate) - 1 AS INTEGER), NULL FROM orders
+    SELECT *, md5(length(CAST(raw_id AS VARCHAR)) || ':' || raw_id || length(name) || ':' || name) AS id FROM (
+      SELECT o_orderkey AS raw_id, o_orderpriority AS name, 'Cat' AS species, CAST(year(o_orderdate) AS INTEGER) AS birth_year,
+             CAST(NULL AS VARCHAR) AS photo FROM orders
+      UNION ALL SELECT o_orderkey, o_orderstatus, 'Dog', CAST(year(o_orderdate) - 1 AS INTEGER), NULL FROM orders)
     """,
 )
 def json_parent_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return payload_files.pets(payload_files.pet_records(pets_payload(spark, sf_dir))).drop("id")
+    return payload_files.pets(payload_files.pet_records(pets_payload(spark, sf_dir)))
 
 
 @query(
@@ -190,13 +191,13 @@ def json_parent_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
       SELECT o_orderkey AS raw_id, 1 AS pos, o_orderpriority AS name, string_split(o_orderpriority, '-') AS foods FROM orders
       UNION ALL SELECT o_orderkey, 3, o_orderpriority, ['other'] FROM orders),
     first AS (SELECT * FROM foods QUALIFY row_number() OVER (PARTITION BY raw_id, name ORDER BY pos) = 1)
-    SELECT DISTINCT raw_id, name, unnest(foods) AS food FROM first
+    SELECT DISTINCT raw_id, name, md5(length(CAST(raw_id AS VARCHAR)) || ':' || raw_id || length(name) || ':' || name) AS pet_id, unnest(foods) AS food FROM first
     """,
 )
 def first_match_children(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Foods of the first pet of each name in a file."""
     records = payload_files.pet_records(pets_payload(spark, sf_dir))
-    return payload_files.pet_fav_foods(records, keep=["raw_id", "name"]).drop("pet_id")
+    return payload_files.pet_fav_foods(records, keep=["raw_id", "name"])
 
 
 def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
