@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions.documents import to_document
 from martloom.operators.latest import latest_version, newest_first
+from martloom.operators.merge import replace_children
 from martloom.operators.quality import check
 from martloom.operators.shred import flatten
 from martloom.plans import marts, stations, warehouse
@@ -86,19 +87,22 @@ def test_only_the_wanted_slices_are_read(spark):
     wh.commit(1, "v1", ["t"], range(8), datetime(2024, 1, 1))
     part = wh.read("t", schema, [3])
     assert "PartitionFilters: [isnotnull(version" in plan(part) or "PartitionFilters: [(version" in plan(part)
-    assert {path.split("slice=")[1][0] for path in part.inputFiles()} >= {"3"}
+    files = [r[0] for r in part.select(F.input_file_name()).distinct().collect()]
+    assert {path.split("slice=")[1].split("/")[0] for path in files} == {"3"}
     assert {r[0] for r in part.select(wh.key_slice("k")).distinct().collect()} == {3}
     assert wh.read("t", schema).count() == 200
 
 
 def test_a_hot_key_is_folded_before_the_shuffle(spark):
-    """A third of all rows on one key: each map task sends at most one row of it."""
+    """A third of all rows on one key: each map task cuts its rows down to one per key before the shuffle."""
     df = spark.range(0, 30_000, 1, 6).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"),
         (F.lit(datetime(2024, 1, 1)) + F.make_dt_interval(secs=F.col("id"))).cast("timestamp_ntz").alias("t"),
         F.col("id").alias("n"),
     )
     latest = latest_version(df, ["k"], newest_first("t", "n"))
+    text = plan(latest)
+    assert text.index("WindowGroupLimit", text.index("Exchange")) > 0 and "Partial" in text[text.index("Exchange") :]
     assert latest.where("k = 'hot'").first().n == 29_997
     assert latest.count() == 20_001
 
@@ -110,13 +114,16 @@ def test_a_huge_child_list_survives_replacement(spark):
         F.concat(F.lit("s"), "id").alias("session_id"),
         F.struct(
             F.lit("2024-01-01T00:00:00").alias("start_time"),
-            F.transform(F.sequence(F.lit(1), F.when(F.col("id") == 0, 20_000).otherwise(20_000)), lambda i: i.cast("string")).alias("pages_visited"),
+            F.transform(F.sequence(F.lit(1), F.when(F.col("id") == 0, 20_000).otherwise(100)), lambda i: i.cast("string")).alias("pages_visited"),
         ).alias("doc"),
     )
     raw = docs.select("session_id", to_document(["doc.*"]).alias("source_doc"))
     pages = warehouse.session_pages(raw)
-    assert pages.count() == 60_000
+    assert pages.count() == 20_200
     wh.write_version(pages, "p", "v1", wh.key_slice("session_id"))
     wh.commit(1, "v1", ["p"], range(4), datetime(2024, 1, 1))
     read = wh.read("p", "session_id string, page_order int, page_url string")
-    assert read.groupBy("session_id").agg(F.max("page_order").alias("n")).where("n = 20000").count() == 3
+    changed = spark.createDataFrame([("s0",)], "session_id string")
+    replaced = replace_children(read, changed, pages.where("session_id = 's0' AND page_order <= 15000"), "session_id")
+    counts = {r["session_id"]: r["n"] for r in replaced.groupBy("session_id").agg(F.count("*").alias("n")).collect()}
+    assert counts == {"s0": 15_000, "s1": 100, "s2": 100}
