@@ -255,9 +255,9 @@ def test_shards_split_repeated_rows(spark):
 
 def test_shards_of_a_target_and_of_no_rows(spark):
     docs = documents(spark)
-    rows = kd_shards.sharded(docs, ["n_chars"], target_bytes=10_000).collect()
+    rows = kd_shards.sharded(docs, ["n_chars"], target_bytes=20_000).collect()
     total = sum(r["size"] for r in rows)
-    assert len({r["shard"] for r in rows}) == -(-total // 10_000)
+    assert len({r["shard"] for r in rows}) == -(-total // 20_000)
     assert sharded_rows(spark, empty(spark), 24) == []
 
 
