@@ -11,9 +11,10 @@ a passage or phrase that many documents share does not make a group, as single s
 A range without shingles is no prefix worth a group: ``R`` leaves room for some, and only a node with more empty ranges
 than that room groups by them as well. The join is exact up to equal 64-bit hashes of different shingles.
 
-Groups are worked off without all their pairs. First each node is compared with the smallest node of its groups; what
-is linked becomes components. Then only pairs of different components that share a group are left and compared.
-Sets of candidates are fetched once by document. All joins are shuffled joins on group, node or document, which
+Groups are worked off without all their pairs. First each node is compared with the hub of its groups, the node that
+shares most of its prefixes with others; what is linked becomes components. Only nodes that share a group with another
+component are left. Their shingles are counted and ordered rarest first, and pairs across components must share one in
+the prefix of this order and have enough left behind it. Sets of candidates are fetched once by document. All joins are shuffled joins on group, node or document, which
 adaptive execution splits where a key is hot; minima are combined before they are shuffled. What has been done is
 written to the shared folder before the next step reads it.
 
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.llm.components import components
@@ -150,16 +151,33 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(near).select("a", "b", "na", "nb", common.alias("c")).filter((F.col("na") + F.col("nb") - F.col("c")) * percent <= F.col("c") * 100).select("a", "b")
 
 
-def _cross_pairs(members: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes that share a group but no component, of fitting sizes."""
-    placed = members.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
-    mixed_keys = placed.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 < r2").select("key")
-    rest = placed.join(mixed_keys, "key")
-    one = rest.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    two = rest.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
+def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """node and root of the nodes that share a group with a node of another component."""
+    placed = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    apart = placed.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 < r2").select("key")
+    return placed.join(apart, "key", "left_semi").select("node", "root").distinct()
+
+
+def _rare_first_pairs(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of nodes of different components that may be linked, by the prefix of rarest shingles.
+
+    Linked sets share a shingle in their prefixes, and from the first one they share, enough must be left in both. What
+    a node alone has comes first, so one that differs from all others in many places has no partner.
+    """
+    tokens = sets.join(mixed, "node").select("node", "n", "root", F.explode("tokens").alias("token"))
+    shared = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
+    order = Window.partitionBy("node")
+    place = F.col("n") - F.count("*").over(order) + F.row_number().over(order.orderBy("df", "token"))
+    ranked = tokens.join(shared, "token").withColumn("place", place)
+    prefix = F.col("n") - F.expr(f"(n * {percent} + 99) DIV 100") + 1
+    ranked = stored(ranked.filter(F.col("place") <= prefix).select("token", "node", "n", "root", "place"), "prefix-rare")
+    one = ranked.toDF("token", "a", "na", "ra", "pa")
+    two = ranked.toDF("token", "b", "nb", "rb", "pb")
+    need = F.expr(f"((na + nb) * {percent} + {99 + percent}) DIV {100 + percent}")
     fits = (F.col("ra") != F.col("rb")) & (F.col("a") > F.col("b"))
     fits &= F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    return one.join(two, "key").filter(fits).select("a", "b").distinct()
+    fits &= need <= 1 + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    return one.join(two, "token").filter(fits).select("a", "b").distinct()
 
 
 def linked(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -174,9 +192,15 @@ def linked(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     wanted = members.select("node").distinct().join(nodes.select("node", "rep", "d1", "d2"), "node")
     tokens = stored(_fetched(docs, wanted).dropDuplicates(["node"]), "prefix-tokens")
 
-    stars = members.filter("node <> least").groupBy("node").agg(F.min("least").alias("b")).select(F.col("node").alias("a"), "b")
+    degrees = members.groupBy("node").agg(F.count("*").alias("degree"))
+    ranked = members.select("key", "node").join(degrees, "node")
+    hub = F.struct("degree", (-F.col("node")).alias("less")).alias("hub")
+    hubs = ranked.groupBy("key").agg(F.max(hub).alias("hub"))
+    best = ranked.join(hubs, "key").groupBy("node").agg(F.max("hub").alias("hub"))
+    stars = stored(best.select(F.col("node").alias("a"), (-F.col("hub.less")).alias("b")).filter("a <> b"), "prefix-stars")
     links = stored(_verified(stars, tokens, percent), "prefix-links")
-    crossing = _cross_pairs(members.select("key", "node", "n"), components(links), percent).join(stars, ["a", "b"], "left_anti")
+    mixed = stored(_mixed(members.select("key", "node"), components(links)), "prefix-mixed")
+    crossing = _rare_first_pairs(mixed, tokens, percent).join(stars, ["a", "b"], "left_anti")
     more = _verified(crossing, tokens, percent)
     roots = components(links.union(more))
 
