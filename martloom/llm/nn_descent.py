@@ -34,10 +34,10 @@ from martloom.llm.frames import stored
 NEIGHBOURS = 24
 TABLES = 4
 BLOCK = 256
-ROUNDS = 6
-BEAM = 160
-EXPANDED = 16
-STEPS = 16
+ROUNDS = 4
+BEAM = 224
+EXPANDED = 64
+STEPS = 8
 
 
 def takes_part(vector: Column) -> Column:
