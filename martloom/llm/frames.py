@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -25,17 +24,27 @@ def unpacked(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[F.col(f"{ROW}.`{c}`") for c in columns])
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the length of one action."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The frame written once as Parquet to the shared folder and read back.
 
-    The written table cuts the lineage: a lost executor costs the tasks it ran, not the steps before them. Shuffle
-    files of those steps go as soon as nothing refers to them, which collecting garbage on the driver finds out.
+    The written table cuts the lineage: a lost executor costs the tasks it ran, not the steps before them. So the
+    shuffle files of those steps, which nothing reads any more, are given up when the table is written.
     """
     spark = df.sparkSession
     path = workspace(spark, name)
-    df.write.parquet(path)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -43,14 +52,3 @@ def words(text: Column) -> Column:
     """The words of a text in order: runs of characters other than the six ASCII spaces; of null, none."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, "[\\x20\\x09-\\x0D]+"))
-
-
-@contextmanager
-def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    """A session setting for the length of one action."""
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
