@@ -97,7 +97,8 @@ class Block:
         edge = np.zeros(width - 1, U)
         most = _slid(np.concatenate([edge, least, edge]), width, np.maximum)
         places = np.flatnonzero((hashes == most) & (hashes != 0))
-        return places, hashes[places], np.searchsorted(self.starts, places, side="right") - 1
+        # Least hashes are small ones: scrambled again, they spread evenly over shards.
+        return places, mixed(hashes[places] + U(1)), np.searchsorted(self.starts, places, side="right") - 1
 
 
 def _packed(array: np.ndarray) -> bytes:
