@@ -24,6 +24,15 @@ def unpacked(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[F.col(f"{ROW}.`{c}`") for c in columns])
 
 
+def settled(*columns: Column) -> Column:
+    """Columns that are computed once and as they stand: a filter on one is not merged into what it is made of.
+
+    They come out of a generator, below which Spark moves no filter. Without it, a filter would take the expression
+    of an array into the functions that run over its items, and compute it anew for each.
+    """
+    return F.inline(F.array(F.struct(*columns)))
+
+
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     """A session setting for the length of one action."""

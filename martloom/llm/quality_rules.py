@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.frames import ROW, SPACES, unpacked, whole, words
+from martloom.llm.frames import ROW, SPACES, settled, unpacked, whole, words
 
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 A_WORD = r"[^\x20\x09-\x0D]"
@@ -114,8 +114,8 @@ def judged(docs: DataFrame, few_words: int = 10, least_share: int = 50, short_li
     ).withColumn("n_repeat_words", _repeated())
     failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
     enough = F.col("line_chars") * 100 >= F.col("all_chars") * least_share
-    judged_rows = counted.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & enough)
-    return judged_rows.select(ROW, *MEASURES, "base_failed", "kept")
+    results = [*map(F.col, MEASURES), failed.alias("base_failed"), (~failed & enough).alias("kept")]
+    return counted.select(ROW, settled(*results))
 
 
 def passing_documents(docs: DataFrame, **options: int) -> DataFrame:
