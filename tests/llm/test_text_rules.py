@@ -115,3 +115,9 @@ def test_license_digests_see_through_spelling(spark):
     assert by[4]["digest"] == by[5]["digest"]
     assert (by[6]["n_notices"], by[6]["notices"]) == (1, "MIT-notice")
     assert license_scan.scanned(docs.limit(0), license_scan.known_digests(spark)).collect() == []
+
+
+def test_a_filter_on_the_verdict_stays_above_the_measures(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = quality_rules.passing_documents(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Filter") < plan.index("Generate") and "Filter" not in plan[plan.index("Generate") :]
