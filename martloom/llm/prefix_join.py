@@ -1,6 +1,6 @@
 """N-gram Jaccard join: grouped prefix join with rotated prefixes.
 
-Texts become sets of hashed three-word shingles. Equal sets are one node, told by a 128-bit digest, so copies cost a
+Texts become sets of hashed shingles, of three words if the caller does not say otherwise. Equal sets are one node, told by a 128-bit digest, so copies cost a
 row. Two sets of at most u shingles with a Jaccard similarity of t or more differ in few of them: at most k, which t
 and u give. The order of shingles (by hash) is cut into R > k ranges, and a node's prefix in the rotation that begins
 at a range is what it holds in that range. R - k or more of these prefixes are the same in both sets, whatever
@@ -104,7 +104,7 @@ def prefixes(tokens: np.ndarray, classes: list[tuple[int, int, int]], percent: i
     return np.concatenate(found) if found else np.empty(0, U)
 
 
-def _sets(docs: DataFrame, percent: int) -> DataFrame:
+def _sets(docs: DataFrame, percent: int, words: int) -> DataFrame:
     """doc_id, n, d1, d2 and the group keys of every document."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -112,7 +112,7 @@ def _sets(docs: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             sizes, digests, keys = [], [], []
             for text in batch["text"]:
-                tokens = shingles(text)
+                tokens = shingles(text, words)
                 sizes.append(len(tokens))
                 digests.append(digest(tokens))
                 keys.append(prefixes(tokens, classes, percent).view(np.int64))
@@ -124,14 +124,14 @@ def _sets(docs: DataFrame, percent: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, n long, d1 long, d2 long, keys array<long>")
 
 
-def _fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _fetched(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """node, n and tokens of wanted nodes (node, rep, d1, d2), from the text of a document that has the set."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for node, text, d1, d2 in zip(batch["node"], batch["text"], batch["d1"], batch["d2"], strict=True):
-                tokens = shingles(text)
+                tokens = shingles(text, words)
                 if digest(tokens) == (d1, d2):
                     rows.append((node, len(tokens), tokens.view(np.int64)))
             yield pd.DataFrame(rows, columns=["node", "n", "tokens"])
@@ -180,9 +180,9 @@ def _rare_first_pairs(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFr
     return one.join(two, "token").filter(fits).select("a", "b").distinct()
 
 
-def linked(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def linked(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of each document."""
-    sets = stored(_sets(docs, percent), "prefix-sets")
+    sets = stored(_sets(docs, percent, words), "prefix-sets")
     equal = sets.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"))
     nodes = stored(equal.withColumn("node", F.monotonically_increasing_id()), "prefix-nodes")
 
@@ -190,7 +190,7 @@ def linked(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     groups = keyed.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most")
     members = stored(keyed.join(groups.select("key", "least"), "key"), "prefix-members")
     wanted = members.select("node").distinct().join(nodes.select("node", "rep", "d1", "d2"), "node")
-    tokens = stored(_fetched(docs, wanted).dropDuplicates(["node"]), "prefix-tokens")
+    tokens = stored(_fetched(docs, wanted, words).dropDuplicates(["node"]), "prefix-tokens")
 
     degrees = members.groupBy("node").agg(F.count("*").alias("degree"))
     ranked = members.select("key", "node").join(degrees, "node")
@@ -211,8 +211,8 @@ def linked(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def one_of_each(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """The documents with the smallest id of their component, with all their columns."""
-    kept = linked(docs, percent).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    kept = linked(docs, percent, words).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     names = [F.col(f"d.`{c}`") for c in docs.columns]
     return docs.alias("d").join(kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi").select(*names)

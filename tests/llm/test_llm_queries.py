@@ -51,3 +51,16 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
 def test_pipeline_of_no_documents(spark, tmp_path):
     folder = labelled(spark, tmp_path, empty(spark))
     assert corpus_pipeline.run(spark, folder).collect() == []
+
+
+def test_pipeline_drops_near_copies_of_five_words_and_four_fifths(spark):
+    base, other = prose(200, 81), prose(150, 82).split()
+    for at in (30, 75, 120):
+        other[at] = f"changed{at}"
+    apart = prose(150, 83).split()
+    for at in (20, 50, 80, 110):
+        apart[at] = f"changed{at}"
+    texts = [base, base + " " + prose(30, 84), prose(150, 82), " ".join(other), prose(150, 83), " ".join(apart)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], documents(spark).schema)
+    kept = dict(corpus_pipeline.STAGES)["near_copies"](spark, docs, "")
+    assert {r["doc_id"] for r in kept.collect()} == {0, 2, 4, 5}
