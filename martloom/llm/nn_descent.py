@@ -11,8 +11,9 @@ neighbours of neighbours: each node meets the neighbours of its neighbours, eith
 its farthest neighbour. The reverse of every edge takes part, so no node's followers need to be gathered. Rounds end when
 few edges change.
 
-Queries walk the graph from their own node: each step expands the nearest nodes not yet expanded and keeps the
-nearest ``beam`` found, until these are all expanded. A step is a join with the graph; a popular node is a hot join key,
+Queries walk the graph from their own node and from the nearest nodes of their blocks under orders that the graph did
+not start from: each step expands the nearest nodes not yet expanded and keeps the nearest ``beam`` found, until these
+are all expanded. Both loops end by themselves; one that reaches its bound raises. A step is a join with the graph; a popular node is a hot join key,
 which adaptive execution splits. Every step is written to the shared folder. Nothing but counts reaches the driver.
 
 Vectors that are null, zero, of another length than the longest, or hold null or non-finite components take no part.
@@ -34,10 +35,15 @@ from martloom.llm.frames import stored
 NEIGHBOURS = 24
 TABLES = 4
 BLOCK = 256
-ROUNDS = 4
+#: Rounds end when no more than this share of the edges is new.
+SETTLED = 0.02
 BEAM = 224
 EXPANDED = 64
-STEPS = 8
+#: Nearest nodes of a query's block, in each order, from which its walk starts too.
+ENTRIES = 4
+#: Rounds and steps after which a loop that has not ended is an error.
+ROUNDS = 100
+STEPS = 1000
 
 
 def takes_part(vector: Column) -> Column:
@@ -69,15 +75,15 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return array.flatten().to_numpy(zero_copy_only=False), np.diff(array.offsets.to_numpy())
 
 
-def _first_graph(nodes: DataFrame, k: int, tables: int, block: int) -> DataFrame:
-    """u, v and sim of the nearest rows in blocks."""
+def _first_graph(nodes: DataFrame, k: int, tables: range, block: int) -> DataFrame:
+    """u, v and sim of the nearest rows in blocks, under the orders numbered ``tables``."""
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if batch.empty:
                 continue
             full = np.column_stack([np.stack(batch["vec"]), batch["long"]]).astype(np.float32)
-            for t in range(tables):
+            for t in tables:
                 planes = np.random.default_rng(t).standard_normal((full.shape[1], 31)).astype(np.float32)
                 signs = (full @ planes > 0).astype(np.int64)
                 codes = signs @ (1 << np.arange(30, -1, -1))
@@ -164,7 +170,7 @@ def _met(rows: DataFrame) -> DataFrame:
 
 def graph(nodes: DataFrame, k: int = NEIGHBOURS, tables: int = TABLES, block: int = BLOCK, rounds: int = ROUNDS) -> DataFrame:
     """u, v and sim: the nearest k nodes of every node, as far as they are found."""
-    start = _first_graph(nodes, k, tables, block).withColumn("fresh", F.lit(True))
+    start = _first_graph(nodes, k, range(tables), block).withColumn("fresh", F.lit(True))
     edges = stored(_nearest(start.union(start.select(F.col("v").alias("u"), F.col("u").alias("v"), "sim", "fresh")), k), "ann-edges")
     total = edges.count()
     for _ in range(rounds):
@@ -174,9 +180,9 @@ def graph(nodes: DataFrame, k: int = NEIGHBOURS, tables: int = TABLES, block: in
         met = _met(own.join(around, "v").select("u", "vec", "long", "far", "fresh", "ws", "vecs", "longs", "fars", "news"))
         seen = edges.withColumn("fresh", F.lit(False))
         edges = stored(_nearest(seen.union(met.withColumn("fresh", F.lit(True))), k), "ann-edges")
-        if edges.filter("fresh").count() <= 0.02 * total:
-            break
-    return edges
+        if edges.filter("fresh").count() <= SETTLED * total:
+            return edges
+    raise RuntimeError(f"edges still change after {rounds} rounds")
 
 
 def _scored(rows: DataFrame) -> DataFrame:
@@ -197,12 +203,21 @@ def _scored(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "q long, node long, sim double")
 
 
-def walked(edges: DataFrame, nodes: DataFrame, starts: DataFrame, beam: int = BEAM, steps: int = STEPS) -> DataFrame:
-    """q, node and sim: the nearest nodes that greedy search finds for the nodes ``starts`` (q)."""
+def entered(nodes: DataFrame, starts: DataFrame, k: int = ENTRIES, tables: int = TABLES, block: int = BLOCK) -> DataFrame:
+    """q and node: the nearest of each of the nodes ``starts`` (q) in blocks by other orders than those of the graph."""
+    near = _first_graph(nodes, k, range(tables, 2 * tables), block).select(F.col("u").alias("q"), F.col("v").alias("node"))
+    return near.join(starts, "q", "left_semi").distinct()
+
+
+def walked(edges: DataFrame, nodes: DataFrame, starts: DataFrame, entries: DataFrame, beam: int = BEAM, steps: int = STEPS) -> DataFrame:
+    """q, node and sim: the nearest nodes that greedy search finds for the nodes ``starts`` (q), also from ``entries``."""
     around = stored(_adjacency(edges, nodes).select("v", "ws", "vecs"), "ann-around")
     queries = stored(starts.join(nodes.select(F.col("node").alias("q"), "vec"), "q"), "ann-queries")
     square = F.aggregate("vec", F.lit(0.0).cast("double"), lambda s, x: s + x.cast("double") * x)
-    state = stored(queries.select("q", F.col("q").alias("node"), square.alias("sim"), F.lit(False).alias("done")), "ann-state")
+    own = queries.select("q", F.col("q").alias("node"), square.alias("sim"))
+    vecs = nodes.select("node", F.col("vec").alias("vecs"))
+    others = entries.filter("q <> node").join(queries, "q").join(vecs, "node").select("q", "vec", F.array("node").alias("ws"), "vecs")
+    state = stored(own.union(_scored(others)).withColumn("done", F.lit(False)), "ann-state")
     for _ in range(steps):
         place = F.row_number().over(Window.partitionBy("q").orderBy("done", F.col("sim").desc(), "node"))
         marked = state.withColumn("next", ~F.col("done") & (place <= EXPANDED))
@@ -213,8 +228,8 @@ def walked(edges: DataFrame, nodes: DataFrame, starts: DataFrame, beam: int = BE
         nearest = both.withColumn("place", F.row_number().over(nearest_first("q", "node"))).filter(F.col("place") <= beam)
         state = stored(nearest.drop("place"), "ann-state")
         if state.filter("NOT done").isEmpty():
-            break
-    return state.select("q", "node", "sim")
+            return state.select("q", "node", "sim")
+    raise RuntimeError(f"nodes are still not expanded after {steps} steps")
 
 
 def searched(vectors: DataFrame, is_query: Column, top: int = 20, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -222,7 +237,8 @@ def searched(vectors: DataFrame, is_query: Column, top: int = 20, key: str = "ve
     nodes = graph_nodes(vectors, key, vector, top)
     asked = vectors.filter(is_query).select(F.col(key).alias("query_id"), F.col(vector).cast("array<float>").alias("vec"))
     asked = stored(asked.join(nodes.select("vec", F.col("node").alias("q")), "vec").select("query_id", "q").distinct(), "ann-asked")
-    near = walked(graph(nodes), nodes, asked.select("q").distinct())
+    starts = asked.select("q").distinct()
+    near = walked(graph(nodes), nodes, starts, entered(nodes, starts))
     members = near.join(nodes.select("node", "ids"), "node").select("q", "sim", F.explode("ids").alias("id"))
     ranked = members.withColumn("place", F.row_number().over(nearest_first("q", "id"))).filter(F.col("place") <= top + 1)
     answers = asked.join(ranked, "q").filter("id <> query_id")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from martloom.llm import nn_descent
@@ -54,3 +55,26 @@ def test_few_and_no_vectors(spark):
     assert [i for i, _ in answers(nn_descent.searched(three, F.col("vec_id") % 20 == 0).collect())[0]] == [1, 2]
     assert nn_descent.searched(three.limit(1), F.col("vec_id") % 20 == 0).collect() == []
     assert nn_descent.searched(three.limit(0), F.col("vec_id") % 20 == 0).collect() == []
+
+
+def test_rounds_go_on_until_few_edges_change(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rng.standard_normal(8)], 0, "", "") for i in range(400)]
+    nodes = nn_descent.graph_nodes(spark.createDataFrame(rows, SHAPE), "vec_id", "embedding", 20)
+    with pytest.raises(RuntimeError):
+        nn_descent.graph(nodes, k=8, tables=2, block=16, rounds=1)
+
+
+def test_walk_goes_on_until_all_is_expanded(spark):
+    last = 11
+    nodes = spark.createDataFrame([(i, [1.0 + i, 0.0], [i], 0.0) for i in range(last + 4)], "node long, vec array<float>, ids array<long>, long double")
+    chain = [(i, i + 1, float(i), False) for i in range(last)] + [(last + 2, last + 3, 0.0, False)]
+    edges = spark.createDataFrame(chain, "u long, v long, sim double, fresh boolean")
+    starts = spark.createDataFrame([(0,)], "q long")
+    entries = spark.createDataFrame([(0, last + 2)], "q long, node long")
+    found = nn_descent.walked(edges, nodes, starts, entries.limit(0)).collect()
+    assert {r["node"]: r["sim"] for r in found} == {i: 1.0 + i for i in range(last + 1)}
+    found = nn_descent.walked(edges, nodes, starts, entries).collect()
+    assert {r["node"] for r in found} == {*range(last + 1), last + 2, last + 3}
+    with pytest.raises(RuntimeError):
+        nn_descent.walked(edges, nodes, starts, entries, steps=3)
