@@ -1,11 +1,15 @@
 """License scans: canonical digests of whole texts, looked up among the digests of known licences.
 
 A text is made canonical by row-local expressions: small letters, copyright lines out, equivalent spellings made one,
-every run of other characters than letters and digits one blank. Its SHA-256 is joined to those of known texts. The
-same is done for every line as a text of its own, since notices are a line long.
+every run of other characters than letters and digits one blank. Its SHA-256 is ``digest``. Known texts are looked up by
+another digest, for which a line is out only if it is a notice of copyright (the word with a sign, a year or a place for
+one) and a leading title is out too, so that wrapping does not decide it. The same lookup is done for every line as a
+text of its own, since notices are a line long.
 
-Only digests and ids move. The known table is small and fixed unless the caller passes another, and is left to Spark's
-measured sizes; copies of a text share a digest, and a shuffled join splits such a group as it splits any hot key.
+Known are the constants below and the whole licences of ``licenses.parquet`` beside this module, each as published, with
+every paragraph on one line, and all on one line (with notices of copyright inside it or without any; a text on one line
+that begins with such a notice is left out whole); those with an appendix also without it. The driver reads that file, as
+executors elsewhere do not have it. Only digests and ids move. The known table is left to Spark's measured sizes; copies of a text share a digest, and a shuffled join splits such a group as it splits any hot key.
 
 Null and empty texts have the digest of the empty text, which is no licence. Rows of one id share the notices of all their
 lines.
@@ -14,8 +18,11 @@ Extra columns are not read; an empty table gives no rows; a line that matches se
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Iterable
+from pathlib import Path
 
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +42,10 @@ SPELLINGS = (
     ("&", " and "),
 )
 COPYRIGHT_LINE = r"(^|\n)[ \t>*#/;-]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
+#: Lines that the lookup leaves out: COPYRIGHT_LINE drops any that wrapping lets start with the word.
+NOTICE_LINE = r"(^|\n)[ \t>*#/;-]*(copyright[ \t]*(\(c\)|©|[<\[{(]?(yyyy|year|[0-9]{4}))|\(c\)[ \t]*[0-9]{4}|©|all rights reserved)[^\n]*"
+TITLE = r"^(the )?((mit|isc|zlib|bsd zero clause|bsd [23] clause( new or revised| simplified)?) license|unlicense)( mit| isc| zlib)?( |$)"
+APPENDIX = "END OF TERMS AND CONDITIONS"
 OTHERS = r"[^a-z0-9\x{80}-\x{10FFFF}]+"
 
 #: Texts of licences and one-line notices as they are published.
@@ -77,9 +88,9 @@ required.
 }
 
 
-def canonical(text: Column) -> Column:
+def canonical(text: Column, left_out: str = COPYRIGHT_LINE) -> Column:
     text = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    text = F.regexp_replace(text, COPYRIGHT_LINE, "")
+    text = F.regexp_replace(text, left_out, "")
     for spelling, kept in SPELLINGS:
         text = F.replace(text, F.lit(spelling), F.lit(kept))
     return F.trim(F.regexp_replace(text, OTHERS, " "))
@@ -89,19 +100,43 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text).cast("binary"), 256)
 
 
-def known_digests(spark: SparkSession, known: Mapping[str, str] = KNOWN) -> DataFrame:
-    """digest and license of each known text."""
-    rows = spark.createDataFrame(sorted(known.items()), "license string, text string")
-    return rows.select(digest(F.col("text")).alias("digest"), "license")
+def lookup_digest(text: Column) -> Column:
+    return F.sha2(F.regexp_replace(canonical(text, NOTICE_LINE), TITLE, "").cast("binary"), 256)
+
+
+def published() -> list[tuple[str, str]]:
+    """Name and text of every known licence and notice; a name may have several texts."""
+    table = pq.read_table(Path(__file__).with_name("licenses.parquet")).to_pydict()
+    return sorted([*KNOWN.items(), *zip(table["license"], table["text"], strict=True)])
+
+
+def layouts(text: str) -> set[str]:
+    """A text as it is, with each paragraph on a line, and on one line; also without what follows its terms."""
+    found = set()
+    for part in {text, text.split(APPENDIX)[0], text.split(APPENDIX)[0] + APPENDIX} if APPENDIX in text else {text}:
+        paragraphs = [" ".join(p.split()) for p in re.split(r"\n\s*\n", part)]
+        bare = re.sub(NOTICE_LINE, "", part, flags=re.IGNORECASE)
+        found |= {part, "\n\n".join(paragraphs), " ".join(paragraphs), " ".join(bare.split())}
+    return found
+
+
+def known_digests(spark: SparkSession, known: Iterable[tuple[str, str]] | None = None) -> DataFrame:
+    """digest (for the lookup) and license of each layout of the known names and texts."""
+    texts = sorted({(name, t) for name, text in (published() if known is None else known) for t in layouts(text)})
+    rows = spark.createDataFrame(texts, "license string, text string")
+    found = rows.select(lookup_digest(F.col("text")).alias("digest"), "license").distinct()
+    return found.filter(F.col("digest") != F.sha2(F.lit("").cast("binary"), 256))
 
 
 def scanned(docs: DataFrame, known: DataFrame, key: str = "doc_id") -> DataFrame:
     """key, digest, license (of the whole text, else null), n_notices and notices: the known texts among its lines,
     each once, in order and joined by blanks."""
-    named = known.groupBy("digest").agg(F.array_join(F.array_sort(F.collect_set("license")), " ").alias("license"))
-    texts = docs.select(F.col(key), digest(F.col("text")).alias("digest")).join(named, "digest", "left")
+    known = known.withColumnRenamed("digest", "sought")
+    named = known.groupBy("sought").agg(F.array_join(F.array_sort(F.collect_set("license")), " ").alias("license"))
+    digests = docs.select(F.col(key), digest(F.col("text")).alias("digest"), lookup_digest(F.col("text")).alias("sought"))
+    texts = digests.join(named, "sought", "left")
     lines = docs.select(F.col(key).alias("k"), F.explode(F.split("text", "\n", -1)).alias("line"))
-    notices = lines.select("k", digest(F.col("line")).alias("digest")).join(known, "digest").groupBy("k")
+    notices = lines.select("k", lookup_digest(F.col("line")).alias("sought")).join(known, "sought").groupBy("k")
     found = notices.agg(F.count("*").alias("n_notices"), F.array_join(F.array_sort(F.collect_set("license")), " ").alias("notices"))
     joined = texts.join(found, F.col(key).eqNullSafe(F.col("k")), "left")
     return joined.select(key, "digest", "license", F.coalesce("n_notices", F.lit(0)).alias("n_notices"), F.coalesce("notices", F.lit("")).alias("notices"))

@@ -117,6 +117,21 @@ def test_license_digests_see_through_spelling(spark):
     assert license_scan.scanned(docs.limit(0), license_scan.known_digests(spark)).collect() == []
 
 
+def test_whole_licenses_in_published_and_unwrapped_layout(spark):
+    mit = " ".join(license_scan.KNOWN["MIT"].split())
+    title, notice = "The MIT License (MIT)\n\n", "Copyright (c) 2001 Someone\n\n"
+    rows = [("MIT", mit), ("MIT", title + notice + mit), ("MIT", "MIT License\n\n" + notice + mit.replace("THE AUTHORS OR", "THE\nAUTHORS OR"))]
+    for name, text in license_scan.published():
+        paragraphs = [" ".join(p.split()) for p in re.split(r"\n\s*\n", text)]
+        rows += [(name, text), (name, "\n\n".join(paragraphs))]
+        rows.append((name, " ".join(p for p in paragraphs if not p.startswith("Copyright"))))
+    names = {name for name, _ in rows}
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "Unlicense"} <= names
+    docs = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(rows)], "doc_id long, text string")
+    found = {r["doc_id"]: r["license"] for r in license_scan.scanned(docs, license_scan.known_digests(spark)).collect()}
+    assert [(name, found[i]) for i, (name, _) in enumerate(rows) if found[i] != name] == []
+
+
 def test_a_filter_on_the_verdict_stays_above_the_measures(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = quality_rules.passing_documents(docs)._jdf.queryExecution().optimizedPlan().toString()
