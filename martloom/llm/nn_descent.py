@@ -16,12 +16,14 @@ not start from: each step expands the nearest nodes not yet expanded and keeps t
 are all expanded. Both loops end by themselves; one that reaches its bound raises. A step is a join with the graph; a popular node is a hot join key,
 which adaptive execution splits. Every step is written to the shared folder. Nothing but counts reaches the driver.
 
-Vectors that are null, zero, of another length than the longest, or hold null or non-finite components take no part.
+Vectors that are null, zero, or hold null or non-finite components take no part. Nor do those of another length than most
+have (the greater of two as common); a warning tells their number.
 Repeated rows of one id and vector count once. Extra columns are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,8 +60,11 @@ def nearest_first(partition: str, *ties: str) -> Window:
 def graph_nodes(vectors: DataFrame, key: str, vector: str, top: int) -> DataFrame:
     """node, vec, long (the added component) and ids of every distinct vector."""
     rows = vectors.select(F.col(key).alias("id"), F.col(vector).cast("array<float>").alias("vec")).filter(takes_part(F.col("vec")))
-    longest = rows.agg(F.max(F.size("vec"))).first()[0] or 0
-    rows = rows.filter(F.size("vec") == longest).distinct()
+    sizes = rows.groupBy(F.size("vec").alias("size")).agg(F.count("*").alias("n"))
+    usual, total = sizes.agg(F.max(F.struct("n", "size")), F.sum("n")).first()
+    if usual and usual["n"] < total:
+        warnings.warn(f"{total - usual['n']} of {total} vectors take no part, as they do not have {usual['size']} components", stacklevel=2)
+    rows = rows.filter(F.size("vec") == (usual["size"] if usual else 0)).distinct()
     place = F.row_number().over(Window.partitionBy("vec").orderBy("id"))
     few = rows.withColumn("place", place).filter(F.col("place") <= top + 1)
     grouped = few.groupBy("vec").agg(F.array_sort(F.collect_list("id")).alias("ids"))

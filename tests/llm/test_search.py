@@ -78,3 +78,10 @@ def test_walk_goes_on_until_all_is_expanded(spark):
     assert {r["node"] for r in found} == {*range(last + 1), last + 2, last + 3}
     with pytest.raises(RuntimeError):
         nn_descent.walked(edges, nodes, starts, entries, steps=3)
+
+
+def test_one_longer_vector_does_not_remove_the_others(spark):
+    rows = [(i, [1.0 + i, 2.0], 0, "", "") for i in range(4)] + [(9, [1.0, 2.0, 3.0], 0, "", "")]
+    with pytest.warns(UserWarning, match="1 of 5 vectors"):
+        nodes = nn_descent.graph_nodes(spark.createDataFrame(rows, SHAPE), "vec_id", "embedding", 20)
+    assert sorted(r["ids"] for r in nodes.collect()) == [[0], [1], [2], [3]]
