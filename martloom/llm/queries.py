@@ -137,7 +137,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_sentencepiece")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepiece_backend.summary(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+    return sentencepiece_backend.summary(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), parity_every=1)
 
 
 def _canonical_sql(column: str) -> str:

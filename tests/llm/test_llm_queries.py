@@ -64,3 +64,7 @@ def test_pipeline_drops_near_copies_of_five_words_and_four_fifths(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], documents(spark).schema)
     kept = dict(corpus_pipeline.STAGES)["near_copies"](spark, docs, "")
     assert {r["doc_id"] for r in kept.collect()} == {0, 2, 4, 5}
+
+
+def test_sentencepiece_query_verifies_every_document(spark):
+    assert all(r["checked"] for r in QUERIES["op9_sentencepiece"].build(spark, SF_DIR).select("checked").collect())
