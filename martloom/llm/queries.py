@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import kd_shards, license_scan, nn_descent, packing, pairwise_quality, prefix_join, quality_rules, sentencepiece_backend, suffix_dedup, url_filter
+from martloom.llm import kd_shards, license_scan, minhash_hamming, nn_descent, packing, pairwise_quality, prefix_join, quality_rules, sentencepiece_backend, suffix_dedup, url_filter
 from martloom.llm.frames import ROW
 from martloom.queries.registry import Build, Query, table
 
@@ -166,30 +166,40 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scanned(table(spark, sf_dir, "documents"), license_scan.known_digests(spark))
 
 
-JACCARD_SQL = r"""
+def jaccard_sql(words: int, percent: int) -> str:
+    shingle = " || ' ' || ".join(f"w[i + {k}]" for k in range(words))
+    return rf"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  SELECT doc_id, regexp_extract_all(translate(text, '{url_filter.UPPER}', '{url_filter.LOWER}'), '[^\x20\x09-\x0D]+') AS w
   FROM documents),
 sets AS (
-  SELECT doc_id, CASE WHEN len(w) = 0 OR w IS NULL THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM w),
+  SELECT doc_id, CASE WHEN len(w) = 0 OR w IS NULL THEN [] WHEN len(w) < {words} THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - {words - 2}), lambda i: {shingle})) END AS s FROM w),
 grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS gram FROM sets),
 common AS (
   SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c
-  FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id < b.doc_id AND least(a.n, b.n) * 100 >= greatest(a.n, b.n) * 90
+  FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id < b.doc_id AND least(a.n, b.n) * 100 >= greatest(a.n, b.n) * {percent}
   GROUP BY 1, 2),
-links AS (SELECT a, b FROM common WHERE 100 * c >= 90 * (na + nb - c)),
+links AS (SELECT a, b FROM common WHERE 100 * c >= {percent} * (na + nb - c)),
 edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reach AS (SELECT doc_id, doc_id AS other FROM sets UNION SELECT reach.doc_id, edges.b FROM reach JOIN edges ON reach.other = edges.a)
 SELECT doc_id, len(s) AS n_shingles, (SELECT min(other) FROM reach WHERE reach.doc_id = sets.doc_id) AS component_id FROM sets
 """
 
 
-@query("op5_prefix_join", JACCARD_SQL)
+@query("op5_prefix_join", jaccard_sql(prefix_join.WORDS, prefix_join.PERCENT))
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_join.linked(table(spark, sf_dir, "documents"))
 
 
+NEAR_SQL = f"SELECT *, doc_id = component_id AS kept FROM ({jaccard_sql(minhash_hamming.WORDS, minhash_hamming.PERCENT)})"
+
+
+@query("op13_minhash_hamming", NEAR_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_hamming.linked(table(spark, sf_dir, "documents"))
+
+
 @query("op6_nn_descent")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nn_descent.searched(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
