@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import kd_shards, license_scan, minhash_hamming, nn_descent, packing, pairwise_quality, prefix_join, quality_rules, sentencepiece_backend, suffix_dedup, url_filter
+from martloom.llm import kd_shards, license_scan, minhash_hamming, nn_descent, packing, pairwise_quality, periodic_runs, prefix_join, quality_rules, sentencepiece_backend, suffix_dedup, url_filter
 from martloom.llm.frames import ROW
 from martloom.queries.registry import Build, Query, table
 
@@ -200,6 +201,61 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_hamming.linked(table(spark, sf_dir, "documents"))
 
 
+def with_repeated_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words that the query is to work on: in a tenth of the documents, by the CRC of the id, the tail is repeated."""
+    if doc_id is None or not words:
+        return words
+    crc = zlib.crc32(str(doc_id).encode())
+    if crc % 10:
+        return words
+    g, n = crc // 10, len(words)
+    start = g % n
+    period = 1 + (n - start) // (3 + g % 8)
+    return words[:start] + [words[start + i % period] for i in range(n - start)]
+
+
+_W, _R = periodic_runs.WINDOW, periodic_runs.REPEATS
+#: A stretch of windows that recur q words on is a run with period q, unless the same stretch has a smaller period.
+RUNS_SQL = rf"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+bits AS (
+  SELECT doc_id, w, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+      lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda crc, c: CASE WHEN c >= 0 THEN xor(crc, c) ELSE xor(crc >> 1, 3988292384::BIGINT * (crc & 1)) END), 4294967295::BIGINT) AS h FROM w),
+parts AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS planted, (h // 10) % greatest(len(w), 1) AS a, 3 + (h // 10) % 8 AS m FROM bits),
+words AS (
+  SELECT doc_id, n, CASE WHEN planted THEN list_transform(range(n), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % (1 + (n - a) // m) + 1] END)
+    ELSE w END AS w FROM parts),
+windows AS (SELECT doc_id, i, w[i + 1:i + {_W}] AS win FROM (SELECT doc_id, w, unnest(range(n - {_W - 1})) AS i FROM words)),
+pairs AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM windows x JOIN windows y ON x.doc_id = y.doc_id AND x.win = y.win AND x.i < y.i),
+islands AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + {_W - 1} + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs) GROUP BY doc_id, q, island),
+runs AS (
+  SELECT doc_id, start, length, min(q) AS period FROM islands
+  WHERE length >= greatest({periodic_runs.SHORTEST}, {_R} * q) GROUP BY doc_id, start, length),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+    flatten(list(range(start + period, start + length))) AS dropped FROM runs GROUP BY doc_id),
+best AS (
+  SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length::DOUBLE / period DESC, start, period) = 1),
+gone AS (SELECT DISTINCT doc_id, unnest(dropped) AS i FROM listed),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS collapsed
+  FROM (SELECT doc_id, unnest(range(n)) AS i, unnest(w) AS word FROM words) ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM words LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op12_periodic_runs", RUNS_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.summary(periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), with_repeated_tail))
+
+
 @query("op6_nn_descent")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nn_descent.searched(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
