@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import kd_shards, license_scan, minhash_hamming, nn_descent, packing, pairwise_quality, periodic_runs, prefix_join, quality_rules, sentencepiece_backend, suffix_dedup, url_filter
+from martloom.llm import collocations, kd_shards, license_scan, minhash_hamming, nn_descent, packing, pairwise_quality, periodic_runs, prefix_join, quality_rules, sentencepiece_backend, suffix_dedup, url_filter
 from martloom.llm.frames import ROW
 from martloom.queries.registry import Build, Query, table
 
@@ -256,6 +256,39 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.summary(periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), with_repeated_tail))
 
 
+_C = collocations
+COLLOCATION_SQL = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), '{url_filter.UPPER}', '{url_filter.LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM w, (SELECT unnest(range(1, {_C.LONGEST + 1})) AS k) WHERE len(w) >= k),
+counted AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY lang, k, phrase),
+sizes AS (SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE k > 1 AND f >= {_C.LEAST}),
+cuts AS (
+  SELECT c.lang, c.k, c.phrase, c.a, c.j, x.f AS l, y.f AS r, ({_C.SCALE}::HUGEINT * c.a) // (x.f + y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM candidates) c
+  JOIN counted x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.j], ' ')
+  JOIN counted y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.j + 1:], ' ')),
+worst AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inside AS (
+  SELECT lang, a AS longer, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM candidates))),
+dropped AS (SELECT DISTINCT lang, phrase FROM inside JOIN candidates c USING (lang, phrase) WHERE 100 * longer >= {_C.COVERED} * c.a),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM worst ANTI JOIN dropped USING (lang, phrase))
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN sizes USING (lang) WHERE rank <= {_C.TOP}
+"""
+
+
+@query("op11_collocations", COLLOCATION_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 @query("op6_nn_descent")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nn_descent.searched(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
