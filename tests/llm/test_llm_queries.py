@@ -17,7 +17,7 @@ def test_query_agrees_with_sql(spark, name):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op"))
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def labelled(spark, folder, docs):
