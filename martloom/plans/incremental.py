@@ -16,11 +16,13 @@ from martloom.operators.latest import fold_latest
 from martloom.operators.merge import ACTION, replace_children, split_rejects, upsert
 from martloom.operators.quality import all_checks, check, check_batch_size, check_parent, check_unique, gate, not_null
 from martloom.plans.warehouse import SOURCES, Child, Source
+from martloom.session import workspace
 from martloom.sinks.runlog import RunLog, advance_watermark, new_run_id, seed_watermarks
-from martloom.sinks.warehouse import Snapshot, Warehouse, touched_slices
+from martloom.sinks.warehouse import HOME, Snapshot, Warehouse, touched_slices
 from martloom.sources.documents import batch_name, since, staged
 
 MERGED = "merged"
+DIRECTORY = "key STRING, place INT"
 
 
 @dataclass(frozen=True)
@@ -64,41 +66,71 @@ def stage(wh: Warehouse, source: Source, docs: DataFrame, batch_id: str, run_ts:
     return StagedBatch(batch_id, seen.get["n"], loaded.n, loaded.newest)
 
 
+def homes_of(now: Snapshot, source: Source, arrived: DataFrame) -> DataFrame:
+    """key, home and whether it was known before, for every key that arrived; written once.
+
+    Known keys are looked up in the directory, in the hash slices of the batch and by two narrow columns. A new key
+    is at home in the month of the earliest time it arrived with, which a retry of the batch finds again.
+    """
+    wh, key = now.wh, source.key
+    first = arrived.groupBy(F.col(key).alias("_arrived")).agg(F.min(source.spec.staged_field).alias("_first"))
+    hashed = touched_slices(arrived, wh.key_slice(key))
+    known = now.read(directory(source), DIRECTORY, hashed)
+    met = first.join(known, F.col("key").eqNullSafe(F.col("_arrived")), "left")
+    home = F.coalesce("place", wh.home_slice("_arrived", "_first")).alias(HOME)
+    path = workspace(wh.spark, "homes")
+    met.select(F.col("_arrived").alias("key"), home, F.col("place").isNotNull().alias("known")).write.parquet(path)
+    return wh.spark.read.schema(f"key STRING, {HOME} INT, known BOOLEAN").parquet(path)
+
+
+def directory(source: Source) -> str:
+    return f"keys/{source.spec.name}"
+
+
+def at_home(rows: DataFrame, homes: DataFrame, key: str) -> DataFrame:
+    """The rows with the home of their key; null keys equal each other."""
+    own = homes.select(F.col("key").alias("_key"), HOME)
+    return rows.join(own, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
+
+
 def merge(wh: Warehouse, source: Source, batch_id: str, run_ts: datetime) -> MergeCounts:
     """Merge one staged batch into the parent table and its child tables.
 
     ``latest/<source>`` keeps the winning raw document of every key, so a merge folds the batch into the
-    slices it touches and never re-reads older batches. Slices in which no key of the batch is known are not
-    read or rewritten: the batch only adds to them. All tables become current in one commit, which is refused,
+    slices it touches and never re-reads older batches. Only slices that are home to a known key of the batch are
+    read and rewritten; to others it adds. All tables and the key directory become current in one commit, which is refused,
     and the version left invisible, when a required column is null, a key repeats or a child has no parent.
     """
     spec, key = source.spec, source.key
-    slice_of = wh.key_slice(key)
     arrived = wh.staging(spec.name, spec.staging_schema, batch_id)
-    slices = touched_slices(arrived, slice_of)
+    now = wh.snapshot()
+    homes = homes_of(now, source, arrived)
+    slices, hit = touched_slices(homes, F.col(HOME)), touched_slices(homes.where("known"), F.col(HOME))
     if not slices:
         return MergeCounts(0, 0, 0)
-    now = wh.snapshot()
     version = f"{batch_id}-{now.next_seq}"
     raw_table = f"latest/{spec.name}"
     raw_schema = f"{spec.staging_schema}, {MERGED} BOOLEAN"
 
-    known_keys = now.read(raw_table, f"{key} STRING", slices)
-    known_keys = known_keys.select(F.col(key).alias("_known"))
-    met = arrived.select(key).distinct().join(known_keys, F.col(key).eqNullSafe(F.col("_known")), "left_semi")
-    hit = touched_slices(met, slice_of)
-    known = now.read(raw_table, raw_schema, hit)
-    winners = fold_latest(known, arrived, key, spec.staged_field, ["batch_id", "id"], MERGED)
-    wh.write_version(winners, raw_table, version, slice_of)
+    fresh = homes.where("NOT known")
+    new_slices = touched_slices(fresh, wh.key_slice("key"))
+    if new_slices:
+        entries = fresh.select("key", F.col(HOME).alias("place"))
+        wh.write_version(entries, directory(source), version, wh.key_slice("key"))
+
+    known = now.read(raw_table, raw_schema, hit, home=True)
+    winners = fold_latest(known, at_home(arrived, homes, key), key, spec.staged_field, ["batch_id", "id"], MERGED)
+    wh.write_version(winners, raw_table, version, F.col(HOME))
     changed = wh.read_version(raw_table, version, raw_schema).where(MERGED)
 
-    rows, rejected = source.rows(changed), None
+    rows, rejected = at_home(source.rows(changed), homes, key), None
     if source.accepted is not None:
         rows, rejected = split_rejects(rows, source.accepted())
+
     def write_child(child: Child) -> None:
-        stamped = child.rows(changed).withColumn("loaded_at", moment(run_ts))
-        children = replace_children(now.read(child.table, child.schema, hit), changed, stamped, key)
-        wh.write_version(children, child.table, version, slice_of)
+        stamped = at_home(child.rows(changed), homes, key).withColumn("loaded_at", moment(run_ts))
+        children = replace_children(now.read(child.table, child.schema, hit, home=True), changed, stamped, key)
+        wh.write_version(children, child.table, version, F.col(HOME))
 
     # Parent and child tables only depend on the winners: their writes share the cluster.
     with ThreadPoolExecutor(max_workers=1 + len(source.children)) as pool:
@@ -107,21 +139,22 @@ def merge(wh: Warehouse, source: Source, batch_id: str, run_ts: datetime) -> Mer
             done.result()
         counts = parent.result()
 
-    # Parent and children of a key share a slice, so what the version wrote can be judged by itself.
+    # Parent and children of a key share a home, so what the version wrote can be judged by itself.
     written = {t: wh.read_version(t, version, schema) for t, schema in source.schemas()}
     named = check(written[source.table], not_null(spec.name, key))
     gate(all_checks([named, *constraints(source, written)]))
     tables = [raw_table, source.table, *[c.table for c in source.children]]
-    wh.commit(now.next_seq, version, tables, hit, run_ts, added=set(slices) - set(hit))
+    entered = {directory(source): ([], new_slices)} if new_slices else {}
+    wh.commit(now.next_seq, version, tables, hit, run_ts, added=set(slices) - set(hit), others=entered)
     return MergeCounts(*counts, 0 if rejected is None else rejected.count())
 
 
 def _merge_parent(now: Snapshot, source: Source, rows: DataFrame, slices: list[int], version: str, run_ts: datetime) -> tuple[int, int]:
     wh = now.wh
-    target = now.read(source.table, source.schema, slices)
-    columns = [c for c in rows.columns if c != source.key]
+    target = now.read(source.table, source.schema, slices, home=True)
+    columns = [c for c in rows.columns if c not in (source.key, HOME)]
     merged = upsert(target, rows, [source.key], columns, run_ts, "loaded_at", source.modified, with_action=True)
-    wh.write_version(merged, source.table, version, wh.key_slice(source.key))
+    wh.write_version(merged, source.table, version, F.col(HOME))
     actions = wh.read_version(source.table, version, f"{ACTION} STRING").agg(
         *[F.count_if(F.col(ACTION) == a).alias(a) for a in ("insert", "update")]
     )

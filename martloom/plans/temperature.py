@@ -85,6 +85,15 @@ def build_extremes(spark: SparkSession, root: str, n: int = 5) -> None:
     overwrite(yearly_extremes(clean, n), f"{root}/extremes")
 
 
+def newest_date(now: Snapshot) -> date | None:
+    """The target's newest date. Slices are months, so it lies in the last one that a full load has not emptied."""
+    for month in reversed(now.slices("target")):
+        newest = now.read("target", "noted_date DATE", [month]).agg(F.max("noted_date")).first()[0]
+        if newest is not None:
+            return newest
+    return None
+
+
 def load_target(
     wh: Warehouse, clean: DataFrame, mode: str, run_ts: datetime, lookback_days: int = LOOKBACK_DAYS
 ) -> date | None:
@@ -116,9 +125,7 @@ def load_target(
             wh.commit(now.next_seq, version, ["target"], {*kept, *written}, run_ts)
             counts["inserted"] = wh.read_version("target", version, TARGET).count()
         with log.step("watermark", PIPELINE):
-            # Slices are months: the newest date lies in the last one.
-            last = wh.snapshot()
-            newest = last.read("target", TARGET, last.slices("target")[-1:]).agg(F.max("noted_date")).first()[0]
+            newest = newest_date(wh.snapshot())
             at = None if newest is None else datetime(newest.year, newest.month, newest.day)
             wh.append_log("watermarks", [(PIPELINE, "noted_date", at, run_ts, "success")], WATERMARKS)
     finally:

@@ -1,10 +1,13 @@
-"""Warehouse tables on plain Parquet: sliced by key, replaced slice by slice, committed together.
+"""Warehouse tables on plain Parquet: sliced, replaced slice by slice, committed together.
 
 A table is a folder of ``version=<v>/slice=<n>`` folders. A merge writes the slices it changed to a new
 version folder, and one write below ``meta/commits`` makes them current for all its tables at once. A slice
 in which no known key changed is not rewritten: the commit only adds the new rows to it. Nothing that is
-being read is overwritten, and a failed run leaves no trace in the result. A merge rewrites whole slices: with
-keys sliced by hash, a batch of more known keys than there are slices rewrites nearly all of them.
+being read is overwritten, and a failed run leaves no trace in the result.
+
+Rows of a merged source live in the slice of the month their key was first seen in, and of the hash of the key: its home.
+Homes of known keys are looked up in the key directory of the source, which is only added to. So a merge
+rewrites slices of the months its known keys come from, and all other months stay as they are.
 """
 
 from __future__ import annotations
@@ -26,6 +29,8 @@ COMMITS = (
     "commit_seq BIGINT, version STRING, table_name STRING, replaced ARRAY<INT>, added ARRAY<INT>, committed_at TIMESTAMP_NTZ"
 )
 LAYOUT = "slices INT"
+#: The slice a row was read from, or is to be written to.
+HOME = "home"
 
 
 def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
@@ -82,8 +87,8 @@ class Snapshot:
     def slices(self, table: str) -> list[int]:
         return sorted({s for owned in self.live.get(table, {}).values() for s in owned})
 
-    def read(self, table: str, schema: str, slices: Iterable[int] | None = None) -> DataFrame:
-        """Current rows of a table, or of some slices of it: files of other slices are not read."""
+    def read(self, table: str, schema: str, slices: Iterable[int] | None = None, home: bool = False) -> DataFrame:
+        """Current rows of a table, or of some slices of it, with their slice if asked: files of other slices are not read."""
         wanted = None if slices is None else set(slices)
         versions = {
             version: [s for s in owned if wanted is None or s in wanted]
@@ -91,19 +96,20 @@ class Snapshot:
         }
         versions = {version: owned for version, owned in versions.items() if owned}
         if not versions:
-            return local_rows(self.wh.spark, [], schema)
+            return local_rows(self.wh.spark, [], f"{schema}, {HOME} INT" if home else schema)
         base = self.wh.path(table)
         reader = self.wh.spark.read.schema(f"{schema}, version STRING, slice INT").option("basePath", base)
         rows = reader.parquet(*[f"{base}/version={v}" for v in versions])
         current = [(F.col("version") == v) & F.col("slice").isin(owned) for v, owned in versions.items()]
-        return rows.where(reduce(Column.__or__, current)).drop("version", "slice")
+        rows = rows.where(reduce(Column.__or__, current)).drop("version")
+        return rows.withColumnRenamed("slice", HOME) if home else rows.drop("slice")
 
 
 @dataclass(frozen=True)
 class Warehouse:
     """Folders of one warehouse. ``slices`` is fixed when it is created: it decides where a key lives.
 
-    Choose it so that a slice holds a few GB at full size. One writer at a time.
+    Choose it so that what one month adds to a slice is a few hundred MB at full size. One writer at a time.
     """
 
     spark: SparkSession
@@ -127,6 +133,11 @@ class Warehouse:
     def key_slice(self, key: str) -> Column:
         return hash_slice(key, self.slices)
 
+    def home_slice(self, key: str, first_seen: str) -> Column:
+        """The slice of a key by the month it was first seen in and its hash; without a time, that of no month."""
+        month = F.coalesce(F.year(first_seen) * 12 + F.month(first_seen), F.lit(0))
+        return (month * self.slices + self.key_slice(key)).cast("int")
+
     # ---- staging -------------------------------------------------------------------------------------
 
     def stage(self, df: DataFrame, source: str, order_by: str) -> None:
@@ -143,12 +154,13 @@ class Warehouse:
         create_if_missing(self.spark, self.path("meta/commits/0"), COMMITS)
         return self.spark.read.schema(COMMITS).option("recursiveFileLookup", True).parquet(self.path("meta/commits"))
 
-    def snapshot(self) -> Snapshot:
-        """What is current now: for each slice its last replacement and what was added after that.
+    def snapshot(self, until: int | None = None) -> Snapshot:
+        """What is current now, or was after a commit: for each slice its last replacement and what was added after that.
 
         One small row per table and version reaches the driver.
         """
-        commits = self.commits().select(
+        made = self.commits() if until is None else self.commits().where(F.col("commit_seq") <= until)
+        commits = made.select(
             "table_name", "commit_seq", "version", F.explode(F.concat("replaced", "added")).alias("slice"), "replaced"
         )
         replaces = F.array_contains("replaced", F.col("slice"))
@@ -166,6 +178,11 @@ class Warehouse:
             seq = max(seq, row.commit_seq)
         return Snapshot(self, seq + 1, live)
 
+    def changed_since(self, table: str, seq: int) -> list[int]:
+        """Slices of a table that later commits replaced or added to."""
+        later = self.commits().where((F.col("table_name") == table) & (F.col("commit_seq") > seq))
+        return [row[0] for row in later.select(F.explode(F.concat("replaced", "added"))).distinct().collect()]
+
     def read(self, table: str, schema: str, slices: Iterable[int] | None = None) -> DataFrame:
         return self.snapshot().read(table, schema, slices)
 
@@ -175,7 +192,7 @@ class Warehouse:
         The rebalance keeps a slice's rows together in as few files as their size allows, and splits a
         slice that holds far more than the others, such as the children of one huge parent.
         """
-        rows = df.withColumn("slice", slice_of).hint("rebalance", "slice")
+        rows = df.withColumn("slice", slice_of).drop(HOME).hint("rebalance", "slice")
         rows.write.mode("overwrite").partitionBy("slice").parquet(f"{self.path(table)}/version={version}")
 
     def read_version(self, table: str, version: str, schema: str) -> DataFrame:
@@ -188,26 +205,34 @@ class Warehouse:
         return [row.slice for row in rows.distinct().collect()]
 
     def commit(
-        self, seq: int, version: str, tables: Iterable[str], replaced: Iterable[int], at: datetime, added: Iterable[int] = ()
+        self,
+        seq: int,
+        version: str,
+        tables: Iterable[str],
+        replaced: Iterable[int],
+        at: datetime,
+        added: Iterable[int] = (),
+        others: Mapping[str, tuple[Iterable[int], Iterable[int]]] | None = None,
     ) -> None:
         """Make what the version wrote current, for all tables in one write.
 
         In ``replaced`` slices it takes the place of what was there, even if it wrote no row to them; to
-        ``added`` slices it adds its rows. A number can be committed once: of two writers that began from one
+        ``added`` slices it adds its rows. ``others`` are tables with slices of their own. A number can be committed once: of two writers that began from one
         snapshot the second fails, and what it wrote stays invisible.
         """
-        lists = sorted(replaced), sorted(added)
-        rows = local_rows(self.spark, [(seq, version, table, *lists, at) for table in tables], COMMITS)
+        changes = {table: (replaced, added) for table in tables} | dict(others or {})
+        lists = [(table, sorted(old), sorted(new)) for table, (old, new) in changes.items()]
+        rows = local_rows(self.spark, [(seq, version, *change, at) for change in lists], COMMITS)
         rows.write.mode("errorifexists").parquet(self.path(f"meta/commits/{seq}"))
 
-    def compact(self, table: str, schema: str, slice_of: Column, at: datetime) -> None:
+    def compact(self, table: str, schema: str, at: datetime) -> None:
         """Rewrite the slices that several versions have added to, each as one version."""
         now = self.snapshot()
         versions = Counter(s for owned in now.live.get(table, {}).values() for s in owned)
         grown = [s for s, times in versions.items() if times > 1]
         if grown:
             version = f"compact-{now.next_seq}"
-            self.write_version(now.read(table, schema, grown), table, version, slice_of)
+            self.write_version(now.read(table, schema, grown, home=True), table, version, F.col(HOME))
             self.commit(now.next_seq, version, [table], grown, at)
 
     # ---- small append-only tables --------------------------------------------------------------------

@@ -152,10 +152,10 @@ def test_only_json_and_xml_can_be_landed(spark, tmp_path):
 def test_latest_payload_settles_equal_times_by_id(spark, rows):
     at = datetime(2024, 1, 1)
     landed = spark.createDataFrame(
-        [(1, "a", "json", "x", at), (2, "a", "json", "y", at), (3, "b", "json", "z", at), (4, "a", "xml", "w", datetime(2025, 1, 1))], files.LANDED
+        [("1", "a", "json", "x", at), ("2", "a", "json", "y", at), ("3", "b", "json", "z", at), ("4", "a", "xml", "w", datetime(2025, 1, 1))], files.LANDED
     )
     assert latest_payload(landed, "a", "json").first().payload == "y"
-    assert rows(latest_payloads(landed), "raw_id") == [(2,), (3,), (4,)]
+    assert rows(latest_payloads(landed), "raw_id") == [("2",), ("3",), ("4",)]
 
 
 def test_csv_is_text_under_clean_names(spark, tmp_path, rows):
