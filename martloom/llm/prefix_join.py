@@ -1,42 +1,11 @@
-"""N-gram Jaccard join: grouped prefix join with rotated prefixes.
-
-Texts become sets of hashed shingles, of three words if the caller does not say otherwise. Equal sets are one node, told by a 128-bit digest, so copies cost a
-row. Two sets of at most u shingles with a Jaccard similarity of t or more differ in few of them: at most k, which t
-and u give. The order of shingles (by hash) is cut into R > k ranges, and a node's prefix in the rotation that begins
-at a range is what it holds in that range. R - k or more of these prefixes are the same in both sets, whatever
-differs. So nodes with an identical prefix in one of the rotations, in the same class of sizes, form a group; pairs
-are taken within groups only, filtered by size, and verified on the whole sets. A prefix holds some nine shingles, so that
-a passage or phrase that many documents share does not make a group, as single shingles would.
-
-A range without shingles is no prefix worth a group: ``R`` leaves room for some, and only a node with more empty ranges
-than that room groups by them as well. The join is exact up to equal 64-bit hashes of different shingles.
-
-Groups are worked off without all their pairs. First each node is compared with the hub of its groups, the node that
-shares most of its prefixes with others; what is linked becomes components. Only nodes that share a group with another
-component are left. Their shingles are counted and ordered rarest first, and pairs across components must share one in
-the prefix of this order and have enough left behind it. Sets of candidates are fetched once by document. All joins are shuffled joins on group, node or document, which
-adaptive execution splits where a key is hot; minima are combined before they are shuffled. What has been done is
-written to the shared folder before the next step reads it.
-
-Null and empty texts have no shingles and stand alone. Rows with equal ids or texts are linked or not by their texts,
-row by row. Other columns are not read. An empty table gives no rows.
-"""
+"""Sets of hashed shingles of words, and their digests."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
-
-from martloom.llm.components import components
-from martloom.llm.frames import stored
 
 WORDS = 3
-PERCENT = 90
 U = np.uint64
 
 
@@ -64,155 +33,3 @@ def digest(tokens: np.ndarray) -> tuple[int, int]:
     """128 bits that tell a set from others."""
     one = xxhash.xxh3_128_intdigest(tokens.tobytes())
     return (one >> 64) - (1 << 63), (one & (1 << 64) - 1) - (1 << 63)
-
-
-def size_classes(percent: int) -> list[tuple[int, int, int]]:
-    """Smallest and largest size of each class up to 2**40, and how many shingles linked sets may differ in."""
-    found, low = [], 1
-    while low < 1 << 40:
-        high = max(low, low * 10_000 // percent**2 - 1)
-        found.append((low, high, 2 * high * 100 // (100 + percent) * (100 - percent) // 100))
-        low = high + 1
-    return found
-
-
-def prefixes(tokens: np.ndarray, classes: list[tuple[int, int, int]], percent: int = PERCENT) -> np.ndarray:
-    """The keys of the groups a set belongs to.
-
-    A pair is looked for in the class of its larger set, so a set groups in its own class and, if it may be the
-    smaller one there, in the next.
-    """
-    found = []
-    size = len(tokens)
-    first = next(i for i, (_, high, _) in enumerate(classes) if size <= high)
-    summable = mixed(tokens + U(0x9E3779B97F4A7C15))
-    for index in (first, first + 1):
-        low, _, differ = classes[index]
-        if differ == 0 or size * 100 < low * percent:
-            continue
-        spare = 1 + (differ + 1) // 32
-        ranges = differ + 1 + spare
-        place = ((tokens >> U(32)) * U(ranges) >> U(32)).astype(np.int64)
-        counts = np.bincount(place, minlength=ranges)
-        starts = np.concatenate([[0], np.cumsum(counts)])
-        sums = np.concatenate([np.zeros(1, U), np.cumsum(summable, dtype=U)])
-        content = sums[starts[1:]] - sums[starts[:-1]]
-        salt = mixed(np.arange(ranges, dtype=U) + U(index << 32))
-        keys = mixed(content + salt)
-        empty = counts == 0
-        found.append(keys if empty.sum() >= ranges - differ else keys[~empty])
-    return np.concatenate(found) if found else np.empty(0, U)
-
-
-def _sets(docs: DataFrame, percent: int, words: int) -> DataFrame:
-    """doc_id, n, d1, d2 and the group keys of every document."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        classes = size_classes(percent)
-        for batch in batches:
-            sizes, digests, keys = [], [], []
-            for text in batch["text"]:
-                tokens = shingles(text, words)
-                sizes.append(len(tokens))
-                digests.append(digest(tokens))
-                keys.append(prefixes(tokens, classes, percent).view(np.int64))
-            yield pd.DataFrame(
-                {"doc_id": batch["doc_id"], "n": sizes, "d1": [d[0] for d in digests], "d2": [d[1] for d in digests], "keys": keys}
-            )
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, n long, d1 long, d2 long, keys array<long>")
-
-
-def _fetched(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """node, n and tokens of wanted nodes (node, rep, d1, d2), from the text of a document that has the set."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for node, text, d1, d2 in zip(batch["node"], batch["text"], batch["d1"], batch["d2"], strict=True):
-                tokens = shingles(text, words)
-                if digest(tokens) == (d1, d2):
-                    rows.append((node, len(tokens), tokens.view(np.int64)))
-            yield pd.DataFrame(rows, columns=["node", "n", "tokens"])
-
-    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("rep")))
-    found = texts.select("node", "text", "d1", "d2").mapInPandas(run, "node long, n long, tokens array<long>")
-    return found
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs a, b whose sets are as similar as asked for."""
-    left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-    both = pairs.join(left, "a").join(right, "b")
-    common = F.size(F.array_intersect("ta", "tb"))
-    near = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    return both.filter(near).select("a", "b", "na", "nb", common.alias("c")).filter((F.col("na") + F.col("nb") - F.col("c")) * percent <= F.col("c") * 100).select("a", "b")
-
-
-def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """node and root of the nodes that share a group with a node of another component."""
-    placed = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    apart = placed.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 < r2").select("key")
-    return placed.join(apart, "key", "left_semi").select("node", "root").distinct()
-
-
-def _rare_first_pairs(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes of different components that may be linked, by the prefix of rarest shingles.
-
-    Linked sets share a shingle in their prefixes, and from the first one they share, enough must be left in both. What
-    a node alone has comes first, so one that differs from all others in many places has no partner.
-    """
-    tokens = sets.join(mixed, "node").select("node", "n", "root", F.explode("tokens").alias("token"))
-    shared = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
-    order = Window.partitionBy("node")
-    place = F.col("n") - F.count("*").over(order) + F.row_number().over(order.orderBy("df", "token"))
-    ranked = tokens.join(shared, "token").withColumn("place", place)
-    prefix = F.col("n") - F.expr(f"(n * {percent} + 99) DIV 100") + 1
-    ranked = stored(ranked.filter(F.col("place") <= prefix).select("token", "node", "n", "root", "place"), "prefix-rare")
-    one = ranked.toDF("token", "a", "na", "ra", "pa")
-    two = ranked.toDF("token", "b", "nb", "rb", "pb")
-    need = F.expr(f"((na + nb) * {percent} + {99 + percent}) DIV {100 + percent}")
-    fits = (F.col("ra") != F.col("rb")) & (F.col("a") > F.col("b"))
-    fits &= F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    fits &= need <= 1 + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    return one.join(two, "token").filter(fits).select("a", "b").distinct()
-
-
-def linked(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of each document."""
-    sets = stored(_sets(docs, percent, words), "prefix-sets")
-    equal = sets.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"))
-    nodes = stored(equal.withColumn("node", F.monotonically_increasing_id()), "prefix-nodes")
-
-    keyed = nodes.select("node", "n", F.explode("keys").alias("key"))
-    groups = keyed.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most")
-    members = stored(keyed.join(groups.select("key", "least"), "key"), "prefix-members")
-    wanted = members.select("node").distinct().join(nodes.select("node", "rep", "d1", "d2"), "node")
-    tokens = stored(_fetched(docs, wanted, words).dropDuplicates(["node"]), "prefix-tokens")
-
-    degrees = members.groupBy("node").agg(F.count("*").alias("degree"))
-    ranked = members.select("key", "node").join(degrees, "node")
-    hub = F.struct("degree", (-F.col("node")).alias("less")).alias("hub")
-    hubs = ranked.groupBy("key").agg(F.max(hub).alias("hub"))
-    best = ranked.join(hubs, "key").groupBy("node").agg(F.max("hub").alias("hub"))
-    stars = stored(best.select(F.col("node").alias("a"), (-F.col("hub.less")).alias("b")).filter("a <> b"), "prefix-stars")
-    links = stored(_verified(stars, tokens, percent), "prefix-links")
-    mixed = stored(_mixed(members.select("key", "node"), components(links)), "prefix-mixed")
-    crossing = _rare_first_pairs(mixed, tokens, percent).join(stars, ["a", "b"], "left_anti")
-    more = _verified(crossing, tokens, percent)
-    roots = components(links.union(more))
-
-    named = nodes.select("node", "rep", "d1", "d2").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    labels = named.join(least, "root").select("d1", "d2", "component_id")
-    joined = sets.select("doc_id", "n", "d1", "d2").join(labels, ["d1", "d2"], "left")
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
-
-
-def one_of_each(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
-    """The documents with the smallest id of their component, with all their columns."""
-    kept = linked(docs, percent, words).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    names = [F.col(f"d.`{c}`") for c in docs.columns]
-    return docs.alias("d").join(kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi").select(*names)

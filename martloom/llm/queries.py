@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import collocations, kd_shards, license_scan, minhash_hamming, nn_descent, packing, pairwise_quality, periodic_runs, prefix_join, quality_rules, sentencepiece_backend, suffix_dedup, url_filter
+from martloom.llm import collocations, grouped_prefix, kd_shards, license_scan, minhash_hamming, nn_descent, packing, pairwise_quality, periodic_runs, quality_rules, sentencepiece_backend, suffix_dedup, url_filter
 from martloom.llm.frames import ROW
 from martloom.queries.registry import Build, Query, table
 
@@ -188,9 +188,9 @@ SELECT doc_id, len(s) AS n_shingles, (SELECT min(other) FROM reach WHERE reach.d
 """
 
 
-@query("op5_prefix_join", jaccard_sql(prefix_join.WORDS, prefix_join.PERCENT))
+@query("op5_prefix_join", jaccard_sql(grouped_prefix.WORDS, grouped_prefix.PERCENT))
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prefix_join.linked(table(spark, sf_dir, "documents"))
+    return grouped_prefix.linked(table(spark, sf_dir, "documents"))
 
 
 NEAR_SQL = f"SELECT *, doc_id = component_id AS kept FROM ({jaccard_sql(minhash_hamming.WORDS, minhash_hamming.PERCENT)})"

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 from cases import documents, empty, prose, texts_of, with_clashes
-from martloom.llm import induced, kd_shards, packing, pairwise_quality, prefix_join, sentencepiece_backend, suffix_dedup
+from martloom.llm import grouped_prefix, induced, kd_shards, packing, pairwise_quality, prefix_join, sentencepiece_backend, suffix_dedup
 from martloom.llm.frames import ROW
 from martloom.llm.queries import QUERIES, tokenizer_file
 
@@ -134,36 +134,52 @@ def near_copies(spark):
 
 def test_prefix_join_equals_brute_force(spark):
     docs = near_copies(spark)
-    got = sorted((tuple(r) for r in prefix_join.linked(with_clashes(docs)).collect()), key=repr)
+    got = sorted((tuple(r) for r in grouped_prefix.linked(with_clashes(docs)).collect()), key=repr)
     assert got == brute_components(texts_of(docs))
 
 
 def test_prefix_join_keeps_one_of_each(spark):
     docs = with_clashes(near_copies(spark))
-    kept = prefix_join.one_of_each(docs)
+    kept = grouped_prefix.one_of_each(docs)
     assert kept.columns == docs.columns
     want = {c for _, _, c in brute_components(texts_of(docs))}
     assert {r["doc_id"] for r in kept.collect()} == want
 
 
 def test_prefix_join_of_no_rows(spark):
-    assert prefix_join.linked(empty(spark)).collect() == []
+    assert grouped_prefix.linked(empty(spark)).collect() == []
 
 
 @pytest.mark.parametrize("percent", [80, 90])
 def test_linked_sets_share_a_prefix(percent):
-    rng, classes = np.random.default_rng(1), prefix_join.size_classes(percent)
+    rng, counts = np.random.default_rng(1), np.random.default_rng(2).integers(0, 50, grouped_prefix.BUCKETS)
     for _ in range(400):
-        n = int(rng.integers(2, 400))
-        a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2))
-        union = rng.permutation(np.concatenate([a, rng.integers(0, 1 << 63, n // 8 + 1).astype(np.uint64)]))
-        gone = union[: len(union) * (100 - percent) // 100]
-        b = np.setdiff1d(np.unique(union), gone)
-        a = np.unique(a)
+        a = np.unique(rng.integers(0, 1 << 63, int(rng.integers(2, 400))).astype(np.uint64))
+        union = rng.permutation(np.concatenate([a, rng.integers(0, 1 << 63, len(a) // 8 + 1).astype(np.uint64)]))
+        b = np.setdiff1d(union, union[: len(union) * (100 - percent) // 100])
         common = len(np.intersect1d(a, b))
-        if 100 * common >= percent * (len(a) + len(b) - common) and not np.array_equal(a, b):
-            keys = [set(prefix_join.prefixes(x, classes, percent).tolist()) for x in (a, b)]
-            assert keys[0] & keys[1]
+        if 100 * common >= percent * (len(a) + len(b) - common):
+            one, two = (grouped_prefix.prefix(x, counts, percent).tolist() for x in (a, b))
+            assert set(one) & set(two)
+
+
+@pytest.mark.parametrize("percent, words", [(80, 5), (60, 1)])
+def test_prefix_join_at_other_thresholds(spark, percent, words):
+    docs = near_copies(spark).union(documents(spark))
+    sets = [(i, set(prefix_join.shingles(t, words).tolist())) for i, t in texts_of(docs) if i is not None]
+    linked = [(i, j) for i, a in sets for j, b in sets if a and b and 100 * len(a & b) >= percent * len(a | b)]
+    reach = {i: i for i, _ in sets}
+    for _ in sets:
+        for i, j in linked:
+            reach[i] = reach[j] = min(reach[i], reach[j])
+    got = grouped_prefix.linked(docs, percent, words).filter("doc_id IS NOT NULL").collect()
+    assert {(r["doc_id"], r["component_id"]) for r in got} == set(reach.items())
+
+
+def test_repeated_rows_are_reduced_to_one(spark):
+    text = prose(80, 91)
+    docs = spark.createDataFrame([(1, text, "en", "s", 1), (1, text, "en", "s", 1), (2, text, "en", "s", 1)], documents(spark).schema)
+    assert [tuple(r) for r in grouped_prefix.one_of_each(docs).collect()] == [(1, text, "en", "s", 1)]
 
 
 # --- packing ------------------------------------------------------------------------------------------------------
