@@ -113,13 +113,16 @@ def reject_counts_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "landed_files",
     """
-    SELECT 'json' AS file_type, '{"pets":[{"name":"' || n_name || '"}]}' || chr(10) AS payload, TIMESTAMP '2024-01-21 06:00:00' AS loaded_at FROM nation
+    SELECT 'json' AS file_type, string_agg('{"pets":[{"name":"' || c_name || '"}]}' || chr(10), '' ORDER BY c_custkey) AS payload,
+           TIMESTAMP '2024-01-21 06:00:00' AS loaded_at
+    FROM customer GROUP BY c_nationkey
     """,
 )
 def landed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file per nation, landed whole and read back from the raw table."""
+    """A file for the customers of each nation, landed whole and read back from the raw table."""
     work = workspace(spark, "landing")
-    text = F.concat(F.lit('{"pets":[{"name":"'), F.col("n_name"), F.lit('"}]}')).alias("value")
-    table(spark, sf_dir, "nation").select("n_nationkey", text).write.partitionBy("n_nationkey").text(f"{work}/files")
+    text = F.concat(F.lit('{"pets":[{"name":"'), F.col("c_name"), F.lit('"}]}')).alias("value")
+    rows = table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", text).repartition("c_nationkey")
+    rows.sortWithinPartitions("c_nationkey", "c_custkey").drop("c_custkey").write.partitionBy("c_nationkey").text(f"{work}/files")
     payload_files.land(spark, work, f"{work}/files/*", "json", datetime(2024, 1, 21, 6, 0))
     return payload_files.landed(spark, work).select("file_type", "payload", "loaded_at")
