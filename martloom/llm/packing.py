@@ -12,12 +12,14 @@ all pieces share is spread over many tasks. Pieces are stored once, without thei
 every later step is narrow.
 
 Null and empty texts are one closing id. Repeated rows are packed one by one, told apart by a row number. Extra columns
-are not read. No documents give no pieces. Very long texts are encoded whole and cut.
+are not read. No documents give no pieces. Very long texts are encoded whole and cut, long runs of blanks
+or of one word's letters included.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -34,13 +36,16 @@ SIZE = 1024
 END = 0
 #: How byte-level vocabularies cut a text before merging.
 CUTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Runs of separators from which on the tokenizers library takes a text.
+LONG_GAP = re.compile(r"\s{10000}")
 
 
 class Encoder:
     """Ids of a byte-level BPE file of the tokenizers library.
 
     The file's vocabulary is run by tiktoken, which yields the same ids in less than half the time. Texts that hold one of the
-    file's added tokens, and the first text of every task as a check, go through the tokenizers library itself.
+    file's added tokens or a run of separators that its search for cuts may not get through, and the first text of every task
+    as a check, go through the tokenizers library itself.
     """
 
     def __init__(self, path: str):
@@ -63,9 +68,12 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def ids(self, text: str) -> np.ndarray:
-        if any(token in text for token in self.added):
+        if any(token in text for token in self.added) or LONG_GAP.search(text):
+            return self.exact(text)
+        try:
+            ids = self.fast.encode_to_numpy(text, disallowed_special=())
+        except ValueError:
             return self.exact(text)
-        ids = self.fast.encode_to_numpy(text, disallowed_special=())
         if text and not self.verified:
             if not np.array_equal(ids, self.exact(text)):
                 raise ValueError("the two libraries disagree on a text")

@@ -233,6 +233,13 @@ def test_fast_ids_equal_the_library(spark):
         assert np.array_equal(encoder.ids(text), encoder.exact(text))
 
 
+@pytest.mark.parametrize("text", [" " * 2_000_000 + "a", "a" + "\n \t" * 700_000, "a" * 1_000_000, ("x" + " " * 9_999) * 50, "\u3000" * 20_000 + "é"])
+def test_ids_of_long_runs_are_those_of_the_library(text):
+    encoder = packing.Encoder(BPE)
+    encoder.verified = True
+    assert np.array_equal(encoder.ids(text), encoder.exact(text))
+
+
 def test_packing_of_no_rows(spark):
     assert packing.sequences(empty(spark), BPE).collect() == []
 
