@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from cases import documents, empty, prose, with_clashes
 from martloom.llm import license_scan, quality_rules, url_filter
 from martloom.llm.frames import ROW
@@ -132,6 +135,24 @@ def test_whole_licenses_in_published_and_unwrapped_layout(spark):
     assert [(name, found[i]) for i, (name, _) in enumerate(rows) if found[i] != name] == []
 
 
+def test_one_canonical_pass_equals_the_forms_by_definition(spark):
+    parts = ["copyright", "(c)", "©", "All Rights Reserved", " ", "\n", "\n", "2001", "  * ", "holders", "Licence", "sub", "-", "license"]
+    parts += ["&", "https://", "MIT License", "the ", "\x01", "\x02", "\r", "\t", "É", "ü", "holder <year>", "favour", "Unlicense", "zlib", "x"]
+    draw = random.Random(1)
+    texts = [(i, "".join(draw.choices(parts, k=draw.randint(0, 14)))) for i in range(3000)]
+    docs = spark.createDataFrame([*texts, (3000, None)], "doc_id long, text string")
+    found = license_scan.digests(docs)
+    text = F.col("text")
+    forms = docs.select("doc_id", license_scan.digest(text).alias("digest"), license_scan.lookup_digest(text).alias("sought"))
+    whole = found.filter("digest IS NOT NULL")
+    assert whole.count() == 3001 and whole.exceptAll(forms).count() == 0
+    lines = docs.select("doc_id", F.explode(F.split("text", "\n", -1)).alias("line"))
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    want = lines.select("doc_id", license_scan.lookup_digest(F.col("line")).alias("sought")).filter(F.col("sought") != nothing)
+    have = found.filter("digest IS NULL").select("k", "sought").filter(F.col("sought") != nothing)
+    assert have.exceptAll(want).count() == want.exceptAll(have).count() == 0
+
+
 def test_a_filter_on_the_verdict_stays_above_the_measures(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = quality_rules.passing_documents(docs)._jdf.queryExecution().optimizedPlan().toString()
