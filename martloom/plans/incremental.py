@@ -19,7 +19,7 @@ from martloom.plans.warehouse import SOURCES, Child, Source
 from martloom.session import workspace
 from martloom.sinks.runlog import RunLog, advance_watermark, new_run_id, seed_watermarks
 from martloom.sinks.warehouse import HOME, Snapshot, Warehouse, touched_slices
-from martloom.sources.documents import batch_name, since, staged
+from martloom.sources.documents import batch_name, raw_rows, since, with_provenance
 
 MERGED = "merged"
 DIRECTORY = "key STRING, place INT"
@@ -56,10 +56,15 @@ def extract(
 
 
 def stage(wh: Warehouse, source: Source, docs: DataFrame, batch_id: str, run_ts: datetime) -> StagedBatch:
+    return stage_rows(wh, source, raw_rows(docs, source.spec), batch_id, run_ts)
+
+
+def stage_rows(wh: Warehouse, source: Source, raw: DataFrame, batch_id: str, run_ts: datetime) -> StagedBatch:
+    """Stage raw rows, and tell what is found there."""
     spec = source.spec
     seen = Observation()
-    # No shuffle lies between the scan and the write, so each row is observed once.
-    rows = staged(docs.observe(seen, F.count(F.lit(1)).alias("n")), spec, batch_id, run_ts)
+    # No shuffle lies between the count and the write, so each row is observed once.
+    rows = with_provenance(raw.observe(seen, F.count(F.lit(1)).alias("n")), batch_id, run_ts)
     wh.stage(rows, spec.name, spec.staged_field)
     batch = wh.staging(spec.name, spec.staging_schema, batch_id)
     loaded = batch.agg(F.count(F.lit(1)).alias("n"), F.max(spec.staged_field).alias("newest")).first()

@@ -69,6 +69,19 @@ def stream_replicate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{work}/documents")
 
 
+@query("stream_replicate_dedup", DOCUMENTS_SQL)
+def stream_replicate_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As above, but every message of a week is delivered again in the second start, and some twice in a batch."""
+    work = workspace(spark, "replicate-dedup")
+    recorded = event_messages(spark, sf_dir).withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    twice = recorded.where("offset % 7 = 0")
+    for part in (F.col("timestamp") < "2024-01-16", F.col("timestamp") >= "2024-01-09"):
+        recorded.where(part).unionByName(twice.where(part)).write.mode("append").json(f"{work}/topic")
+        stream = message_files(spark, f"{work}/topic", stream=True, files_per_trigger=64)
+        replicate(stream, MESSAGE, f"{work}/documents", f"{work}/checkpoint", once=True, within="60 days").awaitTermination()
+    return spark.read.parquet(f"{work}/documents")
+
+
 @query(
     "stream_upsert",
     """

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -14,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
+#: Keeps the state of streams on local disk in place of the heap.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def session(app_name: str = "martloom", **conf: str) -> SparkSession:
@@ -28,6 +32,17 @@ def session(app_name: str = "martloom", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for a while."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def workspace(spark: SparkSession, name: str) -> str:
     """A fresh folder for written intermediate tables, below the cluster's shared checkpoint folder.
 

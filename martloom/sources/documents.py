@@ -50,18 +50,25 @@ def since(df: DataFrame, column: str, watermark: date | datetime | None, lookbac
     return df.where(F.col(column) >= moment(lookback_start(watermark, lookback_days)))
 
 
-def staged(docs: DataFrame, spec: SourceSpec, batch_id: str, run_ts: datetime) -> DataFrame:
-    """Raw rows for staging: key, the whole document as JSON, watermark copy and provenance."""
+def raw_rows(docs: DataFrame, spec: SourceSpec) -> DataFrame:
+    """Key, the whole document as JSON, watermark copy and an id of their content."""
     rows = docs.select(
         F.col(spec.key).cast("string").alias(spec.key),
         to_document([text_id(docs, c) for c in docs.columns]).alias("source_doc"),
         F.col(spec.watermark_field).cast("timestamp_ntz").alias(spec.staged_field),
-        moment(run_ts).alias("extracted_at"),
-        F.lit(batch_id).alias("batch_id"),
     )
     return rows.withColumn("id", surrogate_id(spec.key, spec.staged_field, "source_doc"))
 
 
+def with_provenance(rows: DataFrame, batch_id: str, run_ts: datetime) -> DataFrame:
+    return rows.withColumns({"extracted_at": moment(run_ts), "batch_id": F.lit(batch_id)})
+
+
+def staged(docs: DataFrame, spec: SourceSpec, batch_id: str, run_ts: datetime) -> DataFrame:
+    """Raw rows for staging: key, the whole document as JSON, watermark copy and provenance."""
+    return with_provenance(raw_rows(docs, spec), batch_id, run_ts)
+
+
 def text_id(docs: DataFrame, column: str) -> Column:
     """Document ids are stored as text, all else as it is."""
     return F.col(column).cast("string").alias(column) if column == "_id" else F.col(column)
