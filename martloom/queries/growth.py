@@ -18,7 +18,7 @@ from martloom.queries.registry import query, table
 from martloom.session import workspace
 from martloom.sinks.runlog import watermarks
 from martloom.sinks.warehouse import Warehouse, overwrite
-from martloom.sources.files import csv_text, first_csv
+from martloom.sources.files import csv_split_text, csv_text, first_csv
 
 THIRDS = (datetime(2024, 1, 11), datetime(2024, 1, 21), datetime(2030, 1, 1))
 
@@ -102,6 +102,16 @@ def first_csv_of_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_text(spark, first_csv(spark, work), ["p_partkey", "p_name"])
 
 
+@query("csv_quoted_breaks", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang FROM documents WHERE text <> ''")
+def csv_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as CSV, with their line breaks and quotes, and read back by many tasks a file."""
+    work = workspace(spark, "csv-breaks")
+    docs = table(spark, sf_dir, "documents").where("text <> ''").select("doc_id", "text", "lang")
+    plain = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "quoteAll": True}
+    docs.write.option("header", True).options(**plain).csv(work)
+    return csv_split_text(spark, work, ["doc_id", "text", "lang"])
+
+
 @query("remade_table", "SELECT c_custkey, c_name, c_acctbal FROM customer")
 def remade_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table made anew by the header of what is loaded: neither rows nor columns of the load before are left."""

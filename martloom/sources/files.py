@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,7 +82,7 @@ def csv_text(
     """Header CSV with every column as text under its cleaned name.
 
     A strict read fails on a row with too few or too many fields. ``multiline`` reads fields with line breaks in quotes;
-    such a file is read by one task.
+    such a file is read by one task; ``csv_split_text`` takes many.
 
     The first file's header sets the schema, and Spark then holds every other file's header against it
     while it scans: a file with other columns fails the read in place of shifting values.
@@ -94,3 +94,66 @@ def csv_text(
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
     rows = reader.schema(schema).option("enforceSchema", False).option("mode", mode_of(strict))
     return with_clean_header(rows.csv(path))
+
+
+def csv_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """file, n (from 1) and text of every CSV record, where quoted fields may hold line breaks; a file is read by many tasks.
+
+    Whether a line begins inside quotes follows from the parity of the quotes before it: in its own range of the file by a
+    running sum, and in all ranges before that by a running sum over one row per range. The sums hold as far as a range
+    reaches, so no task gets more than a range of a file, and one row per range of all others. Records of one line stay where they are read; only
+    pieces of longer ones are shuffled, by record. Quotes inside a field are doubled, as the standard asks; a file that puts bare
+    ones into fields without quotes needs the one-task read. Blank lines between records are skipped. In a file
+    whose first line ends in CR LF, so do all, and those inside quotes become LF, as the one-task read has it.
+    """
+    spot = (F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("range"))
+    files = spark.read.option("lineSep", "\n").option("pathGlobFilter", "*.csv").text(path)
+    lines = files.select(*spot, F.monotonically_increasing_id().alias("at"), "value")
+    lines = lines.withColumn("quotes", F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit(""))))
+    until = Window.partitionBy("file", "range").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    odd = F.col("quotes") % 2
+    lines = lines.withColumn("inside", (F.sum("quotes").over(until) - F.col("quotes")) % 2)
+    # Begins of records if the range begins outside of quotes, and if it begins inside.
+    filled = ~F.col("value").isin("", "\r")
+    begins = [((F.col("inside") == side) & filled).cast("long") for side in (0, 1)]
+    lines = lines.withColumns({f"n{side}": F.sum(begins[side]).over(until) for side in (0, 1)})
+    ranges = lines.groupBy("file", "range").agg(
+        (F.sum("quotes") % 2).alias("odd"),
+        *[F.max(f"n{side}").alias(f"all{side}") for side in (0, 1)],
+        F.min_by(F.endswith("value", F.lit("\r")), "at").alias("crlf"),
+    )
+    earlier = Window.partitionBy("file").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumn("side", F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2)
+    count = F.when(F.col("side") == 0, F.col("all0")).otherwise(F.col("all1"))
+    first = F.coalesce(F.first("crlf").over(earlier), F.col("crlf")).alias("crlf")
+    ranges = ranges.select("file", "range", "side", F.coalesce(F.sum(count).over(earlier), F.lit(0)).alias("base"), first)
+    placed = lines.join(ranges, ["file", "range"])
+    outside = F.col("inside") == F.col("side")
+    number = F.col("base") + F.when(F.col("side") == 0, F.col("n0")).otherwise(F.col("n1"))
+    spots = placed.select("file", "range", "at", "value", "crlf", number.alias("n"), outside.alias("outside"), odd.alias("odd"))
+    placed = spots.where(~F.col("outside") | filled)
+    single = placed.where("outside AND odd = 0").select("file", "n", "crlf", F.col("value").alias("text"))
+    pieces = placed.where("NOT (outside AND odd = 0)").groupBy("file", "n", "crlf")
+    joined = pieces.agg(F.array_sort(F.collect_list(F.struct("range", "at", "value"))).alias("pieces"))
+    joined = joined.select("file", "n", "crlf", F.array_join("pieces.value", "\n").alias("text"))
+    joined = joined.withColumn("text", F.when(F.col("crlf"), F.replace("text", F.lit("\r\n"), F.lit("\n"))).otherwise(F.col("text")))
+    text = F.when(F.col("crlf"), F.regexp_replace("text", "\r$", "")).otherwise(F.col("text")).alias("text")
+    return single.unionByName(joined).select("file", "n", text)
+
+
+def csv_split_text(spark: SparkSession, path: str | list[str], expected: Sequence[str] | None = None, strict: bool = True) -> DataFrame:
+    """What ``csv_text`` with ``multiline`` reads, by many tasks a file (see ``csv_records``).
+
+    The first file's header sets the schema; a file with another header fails the read.
+    """
+    found = spark.read.option("header", True).option("escape", '"').option("multiLine", True).option("pathGlobFilter", "*.csv")
+    header = found.csv(path).columns
+    if expected is not None:
+        check_header(header, expected)
+    options = {"escape": '"', "multiLine": "true", "mode": mode_of(strict)}
+    schema = ", ".join(f"c{i} STRING" for i in range(len(header)))
+    rows = csv_records(spark, path).select("n", F.from_csv("text", schema, options).alias("r"))
+    same = F.array(*[F.col(f"r.c{i}") for i in range(len(header))]) == F.array(*[F.lit(name) for name in header])
+    other = F.raise_error(F.lit("a file has another header than the first"))
+    rows = rows.where(F.when(F.col("n") > 1, True).when(same, False).otherwise(other.cast("boolean")))
+    return with_clean_header(rows.select(*[F.col(f"r.c{i}").alias(name) for i, name in enumerate(header)]))

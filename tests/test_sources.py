@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from martloom.operators.latest import latest_payload, latest_payloads
 from martloom.plans import payload_files, stations
+from martloom.session import setting
 from martloom.sinks.warehouse import append_batch, overwrite
 from martloom.sources import files, topics
 from martloom.sources.documents import SourceSpec, batch_name, documents, since, staged
@@ -223,3 +224,30 @@ def test_messages_decode_with_id_position_and_corrupt_text(spark):
     assert (found["sensors-0-0"].station_id, found["sensors-0-0"].value, found["sensors-0-0"]._corrupt_record) == ("a", 1.5, None)
     assert (found["sensors-0-1"].station_id, found["sensors-0-1"]._corrupt_record) == (None, "oops")
     assert (found["sensors-1-0"]._partition, found["sensors-1-0"]._offset) == (1, 0)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_csv_with_quoted_breaks_is_read_by_many_tasks(spark, tmp_path, rows, end):
+    texts = ["plain", f"two{end}lines", 'a ""quoted"" word', f'""{end}{end}""', "comma, inside", "", f"{end}" * 40 + "x", "é" * 30]
+    for name in ("a", "b"):
+        lines = [f'{i},"{texts[i % len(texts)]}",{name}' for i in range(400)]
+        body = end.join(["id,Free Text,from", *lines[:200], "", *lines[200:]]) + end
+        (tmp_path / f"{name}.csv").write_bytes(body.encode())
+    one = files.csv_text(spark, str(tmp_path), multiline=True)
+    with setting(spark, "spark.sql.files.maxPartitionBytes", "700"), setting(spark, "spark.sql.files.openCostInBytes", "0"):
+        many = files.csv_split_text(spark, str(tmp_path), ["id", "Free Text", "from"])
+        assert many.columns == one.columns
+        assert spark.read.text(str(tmp_path)).select(F.spark_partition_id()).distinct().count() > 20
+        assert rows(many) == rows(one)
+        assert len(rows(many)) == 800
+
+
+def test_csv_of_other_headers_or_widths_is_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('x,y\n1,"a\nb"\n')
+    (tmp_path / "b.csv").write_text("x,z\n1,2\n")
+    with pytest.raises(Exception, match="another header"):
+        files.csv_split_text(spark, str(tmp_path)).collect()
+    (tmp_path / "b.csv").write_text('x,y\n"1\n"\n')
+    with pytest.raises(Exception, match="MALFORMED"):
+        files.csv_split_text(spark, str(tmp_path)).collect()
+    assert len(files.csv_split_text(spark, str(tmp_path), strict=False).collect()) == 2
