@@ -44,7 +44,7 @@ def percentile_row(df: DataFrame, column: str, wanted: Sequence[float]) -> DataF
     brackets = _brackets(values, wanted)
     if not brackets:
         return None
-    return _pick(_count_cells(values, brackets, _edges(values, brackets)), wanted)
+    return pick(count_cells(values, brackets, edges_inside(values, brackets)), wanted)
 
 
 def _brackets(values: DataFrame, wanted: Sequence[float]) -> list[tuple[float, float]]:
@@ -63,7 +63,7 @@ def _brackets(values: DataFrame, wanted: Sequence[float]) -> list[tuple[float, f
     return [ends.get(p, bracket) for p, bracket in zip(wanted, inner, strict=True)]
 
 
-def _edges(values: DataFrame, brackets: Sequence[tuple[float, float]]) -> list[list[float]]:
+def edges_inside(values: DataFrame, brackets: Sequence[tuple[float, float]]) -> list[list[float]]:
     """Values that cut what lies in each bracket into parts of about equal size."""
     shares = [i / PARTS for i in range(1, PARTS)]
     inside = [F.when((F.col("v") >= lo) & (F.col("v") <= hi), F.col("v")) for lo, hi in brackets]
@@ -71,7 +71,7 @@ def _edges(values: DataFrame, brackets: Sequence[tuple[float, float]]) -> list[l
     return [sorted(set(found or [])) for found in row]
 
 
-def _count_cells(values: DataFrame, brackets: Sequence[tuple[float, float]], edges: Sequence[Sequence[float]]) -> DataFrame:
+def count_cells(values: DataFrame, brackets: Sequence[tuple[float, float]], edges: Sequence[Sequence[float]]) -> DataFrame:
     """``cell, part, v, n, low, high``: the axis cut into cells and parts in value order, with ``v`` only inside brackets.
 
     Brackets are sorted and may overlap. The number opened plus the number closed before a value numbers the
@@ -80,20 +80,26 @@ def _count_cells(values: DataFrame, brackets: Sequence[tuple[float, float]], edg
     v = F.col("v")
     opened = reduce(add, [(v >= lo).cast("int") for lo, _ in brackets])
     closed = reduce(add, [(v > hi).cast("int") for _, hi in brackets])
+    part = part_of(v, brackets, edges)
+    return (
+        values.select((opened + closed).alias("cell"), part.alias("part"), F.when(opened > closed, v).alias("v"), v.alias("any"))
+        .groupBy("cell", "part", "v")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("any").alias("low"), F.max("any").alias("high"))
+    )
+
+
+def part_of(v: Column, brackets: Sequence[tuple[float, float]], edges: Sequence[Sequence[float]]) -> Column:
+    """Number of the part of a bracket that a value lies in; 0 outside."""
     part = F.lit(0)
     for (lo, hi), cuts in zip(brackets, edges, strict=True):
         if cuts:
             passed = F.size(F.filter(F.array(*[F.lit(e) for e in cuts]), lambda e: e <= v))
             # Any split that keeps the order will do; the last bracket that covers a cell decides for it.
             part = F.when((v >= lo) & (v <= hi), passed).otherwise(part)
-    return (
-        values.select((opened + closed).alias("cell"), part.alias("part"), F.when(opened > closed, v).alias("v"), v.alias("any"))
-        .groupBy("cell", "part", "v")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("any").alias("low"), F.max("any").alias("high"))
-    )
+    return part
 
 
-def _pick(counts: DataFrame, wanted: Sequence[float]) -> DataFrame:
+def pick(counts: DataFrame, wanted: Sequence[float]) -> DataFrame:
     """One row with the interpolated value at each wanted fraction."""
     everything = Window.orderBy("cell", "part")
     parts = (

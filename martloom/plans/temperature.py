@@ -17,8 +17,9 @@ from martloom.operators.merge import touch
 from martloom.operators.outliers import trim
 from martloom.operators.quality import check, unreadable
 from martloom.operators.shape import equals_ignoring_case, with_nulls
+from martloom.operators.sliced_percentiles import STATE, sketches, trim_by_slices
 from martloom.sinks.runlog import WATERMARKS, RunLog, seed_watermarks
-from martloom.sinks.warehouse import Warehouse, overwrite, read_or_empty, touched_slices
+from martloom.sinks.warehouse import Snapshot, Warehouse, append_batch, overwrite, read_or_empty, touched_slices
 from martloom.sources.files import csv_text
 
 OPTIONAL = {"device_id": "string", "room_id": "string", "location": "string"}
@@ -80,6 +81,25 @@ def build_clean(spark: SparkSession, source: str | list[str], root: str, strict:
     overwrite(clean_layer(read_or_empty(spark, f"{root}/typed", CLEAN)), f"{root}/clean")
 
 
+def add_readings(spark: SparkSession, typed: DataFrame, root: str, batch_id: str) -> None:
+    """Add one batch of typed rows to the layer, and its sketches by month; nothing that was there before is read.
+
+    A batch counts once its sketches are there. Adding it again replaces it.
+    """
+    batch = F.lit(batch_id).alias("batch_id")
+    append_batch(typed.select(*CLEAN_COLUMNS, batch), f"{root}/typed_batches")
+    written = spark.read.schema(f"{CLEAN}, batch_id STRING").parquet(f"{root}/typed_batches").where(F.col("batch_id") == batch_id)
+    append_batch(sketches(written, "temp_c", F.date_format("noted_date", "yyyy-MM")).select("*", batch), f"{root}/sketches")
+
+
+def grown_clean_layer(spark: SparkSession, root: str, low: float = 0.05, high: float = 0.95) -> DataFrame:
+    """The clean layer over all batches so far. The percentiles come from the sketches and one pruned scan."""
+    state = read_or_empty(spark, f"{root}/sketches", f"{STATE}, batch_id STRING", "batch_id")
+    typed = read_or_empty(spark, f"{root}/typed_batches", f"{CLEAN}, batch_id STRING", "batch_id")
+    typed = typed.join(state.select("batch_id").distinct(), "batch_id", "left_semi").select(*CLEAN_COLUMNS)
+    return trim_by_slices(typed, "temp_c", state, low, high).where(F.col("noted_date").isNotNull())
+
+
 def build_extremes(spark: SparkSession, root: str, n: int = 5) -> None:
     clean = read_or_empty(spark, f"{root}/clean", CLEAN)
     overwrite(yearly_extremes(clean, n), f"{root}/extremes")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martloom.functions.times import moment
+from martloom.operators.sliced_percentiles import percentiles_of_slices, sketches
 from martloom.plans import incremental, marts, payload_files, temperature
 from martloom.plans.warehouse import SOURCES
 from martloom.queries import inputs
@@ -17,7 +18,7 @@ from martloom.queries.pipelines import FIRST_RUN, MID_1998, SECOND_RUN, two_runs
 from martloom.queries.registry import query, table
 from martloom.session import workspace
 from martloom.sinks.runlog import watermarks
-from martloom.sinks.warehouse import Warehouse, overwrite
+from martloom.sinks.warehouse import Warehouse, local_rows, overwrite
 from martloom.sources.files import csv_split_text, csv_text, first_csv
 
 THIRDS = (datetime(2024, 1, 11), datetime(2024, 1, 21), datetime(2030, 1, 1))
@@ -134,3 +135,37 @@ def staged_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select((before > F.col("source_timestamp")).alias("descent")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if("descent").alias("n_descents")
     )
+
+
+@query(
+    "percentiles_by_month",
+    """
+    SELECT round(quantile_cont(l_extendedprice, 0.05), 6) AS p05, round(quantile_cont(l_extendedprice, 0.95), 6) AS p95,
+           round(quantile_cont(l_extendedprice, 0.999), 6) AS p999 FROM lineitem
+    """,
+)
+def percentiles_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sketch per month of shipping, written; exact percentiles over all months from these and one pruned scan."""
+    path = workspace(spark, "month-sketches")
+    lines = table(spark, sf_dir, "lineitem")
+    overwrite(sketches(lines, "l_extendedprice", F.date_format("l_shipdate", "yyyy-MM")), path)
+    found = percentiles_of_slices(lines, "l_extendedprice", spark.read.parquet(path), [0.05, 0.95, 0.999])
+    return local_rows(spark, [tuple(round(value, 6) for value in found)], "p05 DOUBLE, p95 DOUBLE, p999 DOUBLE")
+
+
+@query(
+    "grown_clean_layer",
+    """
+    SELECT event_type AS device_id, CAST(ts AS DATE) AS noted_date, value AS temp_c FROM events
+    WHERE value BETWEEN (SELECT quantile_cont(value, 0.05) FROM events) AND (SELECT quantile_cont(value, 0.95) FROM events)
+    """,
+)
+def grown_clean_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings that arrive in three batches, one of them twice: the clean layer is that of all readings at once."""
+    work = workspace(spark, "grown-clean")
+    readings = inputs.day_readings(spark, sf_dir)
+    ends = [date(1970, 1, 1), *[until.date() for until in THIRDS]]
+    for i in (0, 1, 2, 2):
+        batch = readings.where((F.col("noted_date") >= F.lit(ends[i])) & (F.col("noted_date") < F.lit(ends[i + 1])))
+        temperature.add_readings(spark, batch, work, f"batch-{i}")
+    return temperature.grown_clean_layer(spark, work).select("device_id", "noted_date", "temp_c")

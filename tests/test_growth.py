@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
+from functools import reduce
 
+import numpy as np
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.plans import incremental, marts, warehouse
+from martloom.operators import sliced_percentiles
+from martloom.operators.shape import with_nulls
+from martloom.operators.sliced_percentiles import percentiles_of_slices, sketches
+from martloom.plans import incremental, marts, temperature, warehouse
 from martloom.plans.temperature import newest_date
 from martloom.session import workspace
-from martloom.sinks.warehouse import Warehouse
+from martloom.sinks.warehouse import Warehouse, append_batch
 from test_incremental import RUNS, SESSION_DOC, TICKET_DOC, session, ticket
 
 TABLES = ("latest/user_sessions", "dwh/user_sessions", "dwh/session_pages", "dwh/session_actions")
@@ -105,3 +111,77 @@ def test_the_newest_date_of_a_target_that_shrank(spark, wh):
     wh.write_version(days.where("row_hash = 'a'"), "target", "v2", F.month("noted_date"))
     wh.commit(2, "v2", ["target"], [1, 2], RUNS[1])
     assert newest_date(wh.snapshot()) == datetime(2024, 1, 5).date()
+
+
+# ---- percentiles of a layer that grows ----------------------------------------------------------------------
+
+
+def sliced_values():
+    rng = np.random.default_rng(5)
+    hot = [1.25] * 20_000 + rng.uniform(0, 100, 20_000).tolist()
+    yield "five", [4.0, 1.0, 3.0, 2.0, 5.0], [0.3, 0.05, 0.95]
+    yield "one", [5.0], [0.3]
+    yield "equal", [7.5] * 300, [0.05, 0.95]
+    yield "gap in the middle", hot, [0.05, 0.95]
+    yield "gap above", hot, [0.3]
+    yield "gap below", hot, [1.0, 0.9501, 0.95]
+    yield "far apart", (10.0 ** rng.uniform(-200, 200, 40_000)).tolist(), [0.05, 0.5, 0.95, 0.0]
+    yield "infinite", [float("inf")] * 50 + rng.normal(0, 1, 5_000).tolist(), [0.9, 0.95]
+
+
+@pytest.mark.parametrize("name, values, fractions", list(sliced_values()), ids=[name for name, *_ in sliced_values()])
+def test_percentiles_of_slices_are_exact(spark, name, values, fractions):
+    df = spark.createDataFrame([(i % 7, v) for i, v in enumerate(values)] + [(3, None)], "s int, v double").repartition(5)
+    # A slice's sketch may come in several rows.
+    state = sketches(df.where("s < 4"), "v", F.col("s")).unionByName(sketches(df.where("s >= 4"), "v", F.lit("0")))
+    got = percentiles_of_slices(df, "v", state, fractions)
+    assert got == pytest.approx(np.percentile(values, [100 * f for f in fractions]).tolist(), rel=1e-12)
+
+
+def test_nan_is_the_greatest_value_and_nothing_has_no_percentile(spark):
+    df = spark.createDataFrame([(float(v),) for v in range(90)] + [(float("nan"),)] * 11, "v double")
+    got = percentiles_of_slices(df, "v", sketches(df, "v", F.lit("a")), [0.5, 0.89, 0.9, 1.0])
+    assert got[:2] == [50.0, 89.0] and all(v != v for v in got[2:])
+    only = df.where(F.isnan("v"))
+    assert all(v != v for v in percentiles_of_slices(only, "v", sketches(only, "v", F.lit("a")), [0.0, 0.4]))
+    none = df.where("v < 0")
+    assert percentiles_of_slices(none, "v", sketches(none, "v", F.lit("a")), [0.4]) == [None]
+
+
+def test_a_range_that_missed_is_made_wider(spark, monkeypatch):
+    monkeypatch.setattr(sliced_percentiles, "K", 8)
+    values = np.random.default_rng(2).normal(0, 1, 3_000).tolist()
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    monkeypatch.setattr(sliced_percentiles, "MARGIN", 0.0001)
+    got = percentiles_of_slices(df, "v", sketches(df, "v", F.lit("a")), [0.1, 0.5])
+    assert got == pytest.approx(np.percentile(values, [10, 50]).tolist(), rel=1e-12)
+
+
+def test_sketches_of_fewer_rows_are_refused(spark):
+    df = spark.createDataFrame([(float(v),) for v in range(100)], "v double")
+    with pytest.raises(RuntimeError, match="sketches"):
+        percentiles_of_slices(df, "v", sketches(df.where("v < 20"), "v", F.lit("a")), [0.05, 0.95])
+
+
+def test_a_day_is_added_without_reading_older_ones(spark, tmp_path, rows):
+    days = [[(date(2024, 1, d), float(100 * d + i)) for i in range(40)] for d in (1, 2, 3)]
+    frames = [spark.createDataFrame(day, "noted_date date, temp_c double") for day in days]
+    frames = [with_nulls(frame.withColumn("outin", F.lit("in")), temperature.OPTIONAL) for frame in frames]
+    root = str(tmp_path)
+    for d, frame in enumerate(frames[:2]):
+        temperature.add_readings(spark, frame, root, f"day-{d}")
+    kept = tmp_path / "typed_batches" / "batch_id=day-0"
+    whole = {file: file.read_bytes() for file in kept.glob("*.parquet")}
+    for file in [*whole, *kept.glob(".*.crc")]:
+        file.write_bytes(b"not readable")
+    temperature.add_readings(spark, frames[2], root, "day-2")
+    for file, content in whole.items():
+        file.write_bytes(content)
+    for file in kept.glob(".*.crc"):
+        file.unlink()
+    everything = reduce(DataFrame.unionByName, frames).select(*temperature.CLEAN_COLUMNS)
+    assert rows(temperature.grown_clean_layer(spark, root)) == rows(temperature.clean_layer(everything))
+    # Written again, a batch replaces itself; without its sketches it does not count.
+    temperature.add_readings(spark, frames[2], root, "day-2")
+    append_batch(frames[0].select(*temperature.CLEAN_COLUMNS, F.lit("day-9").alias("batch_id")), f"{root}/typed_batches")
+    assert rows(temperature.grown_clean_layer(spark, root)) == rows(temperature.clean_layer(everything))
