@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martloom.operators.shred import flatten
 from martloom.sinks.warehouse import overwrite
-from martloom.sources.files import nested_json
+from martloom.sources.files import array_json, nested_json
 
 STATION = (
     "station_id STRING, location STRING, datetime STRING, "
@@ -24,8 +24,13 @@ def alerts(stations: DataFrame) -> DataFrame:
     return flatten(stations, "alerts", KEEP, {f: f"alert_{f}" for f in ("level", "code", "message")})
 
 
-def flatten_stations(spark: SparkSession, source: str | list[str], readings_out: str, alerts_out: str, multiline: bool = True) -> None:
-    """Two scans, each reading only the array it needs; no count or preview in between."""
-    stations = nested_json(spark, source, STATION, multiline)
+def flatten_stations(
+    spark: SparkSession, source: str | list[str], readings_out: str, alerts_out: str, multiline: bool = True, split: bool = False
+) -> None:
+    """Two scans, each reading only the array it needs; no count or preview in between.
+
+    ``split`` reads files that are one array of stations each by many tasks a file.
+    """
+    stations = array_json(spark, source, STATION) if split else nested_json(spark, source, STATION, multiline)
     overwrite(readings(stations), readings_out)
     overwrite(alerts(stations), alerts_out)

@@ -56,6 +56,21 @@ def stations_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{work}/alerts")
 
 
+@query("station_arrays", READINGS_SQL)
+def station_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job over files that are one array each, read by many tasks a file; the readings read back.
+
+    A file holds the lines of a thousand orders, so there are more files, not larger ones, the larger the tables.
+    """
+    work = workspace(spark, "station-arrays")
+    found = inputs.stations(spark, sf_dir)
+    files = found.groupBy(F.expr("CAST(split(station_id, '-')[0] AS BIGINT) DIV 1000").alias("thousand"))
+    arrays = files.agg(F.to_json(F.collect_list(F.struct(*found.columns)), {"ignoreNullFields": "false"}).alias("value"))
+    arrays.repartition("thousand").write.partitionBy("thousand").text(f"{work}/json")
+    stations.flatten_stations(spark, f"{work}/json/*", f"{work}/readings", f"{work}/alerts", split=True)
+    return spark.read.parquet(f"{work}/readings")
+
+
 @query(
     "flatten_joined_orders",
     """

@@ -34,6 +34,9 @@ def test_station_files_become_two_flat_tables(spark, tmp_path, rows):
     docs = station_docs() + [{"station_id": "bare", "location": "x", "datetime": "t", "alerts": []}]
     (tmp_path / "in.json").write_text(json.dumps(docs, indent=2))
     stations.flatten_stations(spark, str(tmp_path / "in.json"), str(tmp_path / "r"), str(tmp_path / "a"))
+    stations.flatten_stations(spark, str(tmp_path / "in.json"), str(tmp_path / "r2"), str(tmp_path / "a2"), split=True)
+    for name in ("r", "a"):
+        assert rows(spark.read.parquet(str(tmp_path / f"{name}2"))) == rows(spark.read.parquet(str(tmp_path / name)))
     readings, alerts = spark.read.parquet(str(tmp_path / "r")), spark.read.parquet(str(tmp_path / "a"))
     assert (readings.count(), alerts.count()) == (20, 8)
     assert readings.columns == ["station_id", "location", "datetime", "sensor_type", "value", "unit", "status"]
@@ -251,3 +254,58 @@ def test_csv_of_other_headers_or_widths_is_refused(spark, tmp_path):
     with pytest.raises(Exception, match="MALFORMED"):
         files.csv_split_text(spark, str(tmp_path)).collect()
     assert len(files.csv_split_text(spark, str(tmp_path), strict=False).collect()) == 2
+
+
+ITEM = "id BIGINT, note STRING, tags ARRAY<STRING>, at STRUCT<x: DOUBLE, inner: STRUCT<y: STRING>>, list ARRAY<STRUCT<k: STRING, v: BIGINT>>"
+
+
+def array_items(n):
+    """Braces, brackets, quotes and backslashes within texts, nested objects, and flat ones."""
+    notes = ["}", "{[", 'say \\"}\\"', "back\\\\", '"', "line\nbreak }, {", "", "ü}\u20ac", "],[", '\\"}', None]
+    for i in range(n):
+        made = {"id": i, "note": notes[i % len(notes)]}
+        if i % 3:
+            made |= {"tags": [notes[i % 7], "]"], "list": [{"k": notes[(i + j) % 10], "v": j} for j in range(i % 5)]}
+        if i % 4 == 1:
+            made["at"] = {"x": i / 2, "inner": {"y": notes[(i + 5) % 10]}}
+        yield made
+
+
+@pytest.mark.parametrize("size", ["64", "700", "1000000"])
+def test_an_array_file_is_read_by_many_tasks(spark, tmp_path, rows, size):
+    docs = list(array_items(150))
+    (tmp_path / "compact.json").write_text(json.dumps(docs, separators=(",", ":")))
+    (tmp_path / "indented.json").write_text(json.dumps(docs, indent=2, ensure_ascii=False) + "\n\n", encoding="utf-8")
+    (tmp_path / "crlf.json").write_bytes(json.dumps(docs[:40], indent=1).replace("\n", "\r\n").encode())
+    (tmp_path / "one.json").write_text('[{"id": 7}]')
+    (tmp_path / "none.json").write_text(" [ ]\n")
+    (tmp_path / "empty.json").write_text("")
+    one = files.nested_json(spark, str(tmp_path), ITEM)
+    with setting(spark, "spark.sql.files.maxPartitionBytes", size), setting(spark, "spark.sql.files.openCostInBytes", "0"):
+        many = files.array_json(spark, str(tmp_path), ITEM)
+        if size != "1000000":
+            assert spark.read.text(str(tmp_path)).select(F.spark_partition_id()).distinct().count() > 20
+        assert many.schema == one.schema
+        assert rows(many) == rows(one)
+        numbered = files.json_elements(spark, str(tmp_path / "compact.json")).where("n = 149").collect()
+        assert [json.loads(r.text) for r in numbered] == [docs[149]]
+    assert many.count() == 341
+
+
+@pytest.mark.parametrize("text", ['[{"id": 1}, {"id": 2', '[{"id": 1}', '[{"id": 1},', '{"id": 1}', '[{"id": 1}] {"id": 2}', '[{"id": 1}, 5]', "[1, 2]", '[{"id": 1}]]', '[{"id": "x}]'])
+def test_a_file_that_is_no_array_of_objects_is_refused(spark, tmp_path, text):
+    (tmp_path / "in.json").write_text(text)
+    for strict in (True, False):
+        with pytest.raises(PySparkException, match="is not one JSON array"):
+            files.array_json(spark, str(tmp_path), ITEM, strict).collect()
+
+
+def test_elements_that_do_not_fit(spark, tmp_path, rows):
+    (tmp_path / "in.json").write_text('[{"id": 1}, 5, {"id": 2}, {"id": "x"}, {"id": 3} {"id": 4}]')
+    got = rows(files.array_json(spark, str(tmp_path), "id BIGINT", strict=False))
+    assert got == [(1,), (3,), (None,), (None,), (None,)]
+    with pytest.raises(PySparkException, match="no object"):
+        files.array_json(spark, str(tmp_path), "id BIGINT").collect()
+    (tmp_path / "in.json").write_text('[{"id": 1}, {"id": "x"}]')
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        files.array_json(spark, str(tmp_path), "id BIGINT").collect()
