@@ -14,7 +14,7 @@ from martloom.functions.numbers import amount
 from martloom.functions.times import moment
 from martloom.operators.latest import latest_payload, latest_payloads
 from martloom.operators.merge import insert_ignore
-from martloom.operators.quality import Rule, check
+from martloom.operators.quality import Rule, check, unreadable
 from martloom.operators.shape import required
 from martloom.operators.shred import ITEM, POSITION, first_of_each, items
 from martloom.sinks.warehouse import read_or_empty
@@ -95,6 +95,23 @@ def unreadable_payloads(landed: DataFrame, schema: str = PETS) -> DataFrame:
     return check(landed.select(doc.alias("doc")), [Rule("payloads_unreadable", F.col("doc._corrupt_record").isNotNull())])
 
 
+def food_rejects(landed: DataFrame) -> DataFrame:
+    """``check_name, error_count``: what a tolerant load of landed XML turns into null, from one scan.
+
+    Payloads that cannot be read as a whole, foods without a name, and numbers by column; every element of a file counts.
+    """
+    options = {"ignoreSurroundingSpaces": "false", "mode": mode_of(strict=False)}
+    parsed = landed.select(F.from_xml("payload", f"{NUTRITION}, _corrupt_record STRING", options).alias("doc"))
+    rows = parsed.select(F.col("doc._corrupt_record").alias("broken"), F.posexplode_outer("doc.food").alias(POSITION, ITEM))
+    first = F.coalesce(F.col(POSITION), F.lit(0)) == 0
+    rules = [
+        Rule("payloads_unreadable", F.col("broken").isNotNull() & first),
+        Rule("foods_null_name", F.col(POSITION).isNotNull() & F.col(f"{ITEM}.name").isNull()),
+    ]
+    texts = {name: F.col(f"{ITEM}.{path}") for name, path in AMOUNTS.items()}
+    return check(rows, rules + [unreadable("foods", name, F.trim(text), amount(text, strict=False)) for name, text in texts.items()])
+
+
 PETS_TABLE = "id STRING, name STRING, species STRING, birth_year INT, photo STRING, raw_id STRING"
 FOODS_TABLE = "pet_id STRING, food STRING"
 NUTRITION_TABLE = (

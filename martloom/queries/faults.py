@@ -110,6 +110,25 @@ def reject_counts_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payload_files.unreadable_payloads(table(spark, sf_dir, "customer").select(payload.alias("payload")))
 
 
+@query(
+    "reject_counts_xml",
+    """
+    SELECT 'payloads_unreadable' AS check_name, count(*) AS error_count FROM part WHERE p_partkey % 7 = 0
+    UNION ALL SELECT 'foods_null_name', count(*) FROM part WHERE p_partkey % 7 = 1
+    UNION ALL SELECT 'foods_unreadable_serving_g', count(*) FROM part WHERE p_partkey % 7 <> 0 AND p_size > 45
+    UNION ALL SELECT 'foods_unreadable_' || name, 0 FROM (SELECT unnest(['calories_total', 'calories_fat', 'total_fat', 'saturated_fat',
+      'cholesterol', 'sodium', 'carb', 'fiber', 'protein']) AS name)
+    """,
+)
+def reject_counts_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads cut off in the middle, foods without a name, and words where a number belongs."""
+    name = F.when(F.col("p_partkey") % 7 == 1, "").otherwise(F.concat(F.lit("<name>"), F.col("p_name"), F.lit("</name>")))
+    serving = F.when(F.col("p_size") > 45, "plenty").otherwise(F.col("p_size").cast("string"))
+    good = F.concat(F.lit("<nutrition><food>"), name, F.lit('<serving units="g">'), serving, F.lit("</serving></food></nutrition>"))
+    payload = F.when(F.col("p_partkey") % 7 == 0, F.substring(good, F.lit(1), F.length(good) - 9)).otherwise(good)
+    return payload_files.food_rejects(table(spark, sf_dir, "part").select(payload.alias("payload")))
+
+
 @query(
     "landed_files",
     """

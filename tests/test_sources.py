@@ -304,8 +304,22 @@ def test_elements_that_do_not_fit(spark, tmp_path, rows):
     (tmp_path / "in.json").write_text('[{"id": 1}, 5, {"id": 2}, {"id": "x"}, {"id": 3} {"id": 4}]')
     got = rows(files.array_json(spark, str(tmp_path), "id BIGINT", strict=False))
     assert got == [(1,), (3,), (None,), (None,), (None,)]
+    (tmp_path / "in.json").write_text('[{"id": 1}, 5, {"id": 2}]')
     with pytest.raises(PySparkException, match="no object"):
         files.array_json(spark, str(tmp_path), "id BIGINT").collect()
     (tmp_path / "in.json").write_text('[{"id": 1}, {"id": "x"}]')
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
         files.array_json(spark, str(tmp_path), "id BIGINT").collect()
+
+
+def test_rejects_of_xml_are_counted(spark):
+    good, bad = food("a"), food("b", serving="lots", total="n/a", fiber=" ")
+    nameless = food("c").replace("<name>c</name>", "")
+    texts = [f"<nutrition>{good}{bad}{nameless}</nutrition>", f"<nutrition>{bad}", "<nutrition></nutrition>", None]
+    landed = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "raw_id string, payload string")
+    found = {r.check_name: r.error_count for r in payload_files.food_rejects(landed).collect()}
+    assert {name: n for name, n in found.items() if n} == {
+        "payloads_unreadable": 1, "foods_null_name": 1, "foods_unreadable_serving_g": 1, "foods_unreadable_calories_total": 1,
+    }
+    assert len(found) == 12
+    assert {r.error_count for r in payload_files.food_rejects(landed.limit(0)).collect()} == {0}
