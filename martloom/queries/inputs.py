@@ -10,13 +10,25 @@ from pyspark.sql import functions as F
 from martloom.queries.registry import table
 
 
+LINE = (
+    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_shipdate", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+)
+
+
 def text_time(column: str) -> Column:
     return F.date_format(column, "yyyy-MM-dd HH:mm:ss")
 
 
-def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as stations: four measurements each, an alert for a high quantity and one for a high discount."""
+def stations(spark: SparkSession, sf_dir: str, deal: str | None = None) -> DataFrame:
+    """Order lines as stations: four measurements each, an alert for a high quantity and one for a high discount.
+
+    With ``deal``, lines are dealt out by that expression over ``station_id``, whose value is kept as ``deal``: the narrow lines are
+    shuffled, not the stations.
+    """
     lines = table(spark, sf_dir, "lineitem")
+    station = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("station_id")
+    if deal is not None:
+        lines = lines.select(*[c for c in lines.columns if c in LINE], station).withColumn("deal", F.expr(deal)).drop("station_id").repartition("deal")
 
     def reading(kind: str, column: str, unit: str, limit: float) -> Column:
         status = F.when(F.col(column) > limit, "warning").otherwise("ok")
@@ -40,11 +52,12 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     return lines.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("station_id"),
+        station,
         F.col("l_returnflag").alias("location"),
         text_time("l_shipdate").alias("datetime"),
         readings.alias("readings"),
         alerts.alias("alerts"),
+        *([] if deal is None else ["deal"]),
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from martloom.functions.hashing import surrogate_id
 from martloom.functions.headers import check_header, with_clean_header
+from martloom.sources import array_pieces
 
 LANDED = "raw_id STRING, source STRING, file_type STRING, payload STRING, loaded_at TIMESTAMP_NTZ"
 
@@ -32,42 +33,18 @@ def json_elements(spark: SparkSession, path: str | list[str], strict: bool = Tru
     """file, n (from 0) and text of every object in files that are one JSON array each; a file is read by many tasks.
 
     A file is read in pieces that end in a closing brace, whether or not there are line breaks. Two things tell what a piece is
-    part of: whether it begins inside a string, and how deep it is nested. Both are running sums, in its own range of the
-    file for either way the range may begin, and over one row per range for all before that. So no task gets more than
-    a range of a file, or one element. The pieces of an element are put together before they are shuffled, but for one across ranges.
+    part of: whether it begins inside a string, and how deep it is nested. Both are running sums, inside a task over its own range of
+    the file, and over one row per range for all before that. A file that is one range is read once, and none of it is
+    shuffled. One of several ranges is measured first, for either way a range may begin; then elements inside a range are put
+    together where they are read, and only those that may lie across ranges are shuffled. No task holds more than a batch of pieces and one element.
 
     A file that is no array, ends early, or ends in an element that is no object fails the read; an empty file has no elements.
     Another element that is no object fails it if strict; otherwise it and the object behind it give one null text.
     """
-    spot = (F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("range"))
-    pieces = spark.read.option("lineSep", "}").text(path).select(*spot, F.monotonically_increasing_id().alias("at"), "value")
-    # After an escape no quote ends a string.
-    bare = F.when(F.contains("value", F.lit("\\")), F.regexp_replace("value", r"(?s)\\.", "")).otherwise(F.col("value"))
-    pieces = pieces.withColumn("bare", bare).withColumn("quotes", F.length("bare") - F.length(F.replace("bare", F.lit('"'), F.lit(""))))
-
-    def levels(begins_inside: int) -> Column:
-        """Levels opened less levels closed, the brace at the end included, if the piece begins outside or inside a string."""
-        text = F.concat(F.lit('"'), "bare") if begins_inside else F.col("bare")
-        signs = F.regexp_replace(text, '"[^"]*("|$)', "")
-        opened, closed = (F.length(signs) - F.length(F.translate(signs, some, "")) for some in ("{[", "]"))
-        return opened - closed - (F.col("quotes") % 2 == begins_inside).cast("int")
-
-    pieces = pieces.withColumns({f"levels{side}": levels(side) for side in (0, 1)}).drop("bare")
-    whole = Window.partitionBy("file", "range")
-    until = whole.orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    pieces = pieces.withColumn("passed", F.sum("quotes").over(until))
-    even = (F.col("passed") - F.col("quotes")) % 2 == 0
-    turned = [(F.col("levels0"), F.col("levels1")), (F.col("levels1"), F.col("levels0"))]
-    pieces = pieces.withColumns({f"depth{side}": F.sum(F.when(even, a).otherwise(b)).over(until) for side, (a, b) in enumerate(turned)})
-    # Depth at the ends of objects, and the least of a range: if an element of the array ends in the range, then only there.
-    at_end = [F.when(F.col("passed") % 2 == side, F.col(f"depth{side}")) for side in (0, 1)]
-    pieces = pieces.withColumns({f"least{side}": F.min(at_end[side]).over(whole) for side in (0, 1)})
-    ranges = pieces.groupBy("file", "range").agg(
-        (F.sum("quotes") % 2).alias("odd"),
-        *[F.max_by(f"depth{side}", "at").alias(f"total{side}") for side in (0, 1)],
-        *[F.max(f"least{side}").alias(f"least{side}") for side in (0, 1)],
-        *[F.count_if(at_end[side] == F.col(f"least{side}")).alias(f"n{side}") for side in (0, 1)],
-    )
+    file, start, length, size = (F.col(f"_metadata.{c}") for c in ("file_path", "file_block_start", "file_block_length", "file_size"))
+    spots = (file.alias("file"), start.alias("range"), (length < size).alias("split"))
+    pieces = spark.read.option("lineSep", "}").text(path).select(*spots, "value")
+    alone, several = pieces.where("NOT split").drop("split"), pieces.where("split").drop("split")
     earlier = Window.partitionBy("file").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
 
     def before(column: Column) -> Column:
@@ -76,28 +53,21 @@ def json_elements(spark: SparkSession, path: str | list[str], strict: bool = Tru
     def by_side(name: str) -> Column:
         return F.when(F.col("side") == 0, F.col(f"{name}0")).otherwise(F.col(f"{name}1"))
 
-    ranges = ranges.withColumn("side", before(F.col("odd")) % 2)
+    ranges = several.mapInArrow(array_pieces.measured, array_pieces.RANGE).withColumn("side", before(F.col("odd")) % 2)
     ranges = ranges.withColumns({"depth": before(by_side("total")), "all": F.sum(by_side("total")).over(Window.partitionBy("file"))})
     base = before(F.when(by_side("least") + F.col("depth") == 1, by_side("n")).otherwise(0))
     ranges = ranges.select("file", "range", "side", F.col("depth").alias("above"), "all", base.alias("base"))
-    placed = pieces.join(ranges, ["file", "range"])
-    outside = F.col("passed") % 2 == F.col("side")
-    depth = F.col("above") + by_side("depth")
-    placed = placed.select("file", "range", "at", "value", "all", "base", F.when(outside, depth).alias("depth"))
-    ends = F.coalesce(F.col("depth") == 1, F.lit(False))
-    placed = placed.withColumn("ends", ends.cast("int"))
-    placed = placed.withColumn("n", F.col("base") + F.sum("ends").over(until) - F.col("ends"))
-    # What follows the last element ends with the file, not with a brace.
-    rest = F.when(F.col("n") == 0, F.col("value").rlike(r"^\uFEFF?\s*\[\s*\]\s*$")).otherwise(F.col("value").rlike(r"^\s*\]\s*$"))
-    broken = F.raise_error(F.concat(F.col("file"), F.lit(" is not one JSON array")))
-    inner = F.coalesce(F.col("depth") >= 1, F.lit(True))
-    kept = F.when(F.col("all") != -1, broken.cast("boolean")).when(inner, True).when((F.col("depth") == -1) & rest, False).otherwise(broken.cast("boolean"))
-    placed = placed.where(kept).withColumn("value", F.concat("value", F.lit("}")))
-    joined = placed.groupBy("file", "n").agg(F.array_sort(F.collect_list(F.struct("range", "at", "value"))).alias("pieces"))
-    elements = joined.select("file", "n", F.array_join("pieces.value", "").alias("text"))
+    # One row per range; the pieces keep their order beside a broadcast table.
+    placed = several.join(F.broadcast(ranges), ["file", "range"])
+    known = {"side": F.lit(0), "above": F.lit(0), "all": F.lit(None).cast("bigint"), "base": F.lit(0)}
+    inside = [rows.mapInArrow(array_pieces.cut(True), array_pieces.ELEMENT).select("file", "n", "text") for rows in (alone.withColumns(known), placed)]
+    parts = placed.mapInArrow(array_pieces.cut(False), array_pieces.ELEMENT)
+    joined = parts.groupBy("file", "n").agg(F.array_sort(F.collect_list(F.struct("range", "text"))).alias("parts"))
+    elements = inside[0].union(inside[1]).union(joined.select("file", "n", F.array_join("parts.text", "").alias("text")))
     lead = F.when(F.col("n") == 0, F.lit(r"^\uFEFF?\s*\[\s*(?=\{)")).otherwise(F.lit(r"^\s*,\s*(?=\{)"))
     other = F.raise_error(F.concat(F.col("file"), F.lit(" has an element that is no object"))).cast("string") if strict else F.lit(None)
-    text = F.when(F.regexp_like("text", lead), F.regexp_replace("text", lead, F.lit(""))).otherwise(other)
+    led = F.regexp_substr("text", lead)
+    text = F.when(led.isNotNull(), F.substr("text", F.length(led) + 1)).otherwise(other)
     return elements.select("file", "n", text.alias("text"))
 
 

@@ -292,6 +292,21 @@ def test_an_array_file_is_read_by_many_tasks(spark, tmp_path, rows, size):
     assert many.count() == 341
 
 
+def test_elements_across_batches_and_without_a_shuffle(spark, tmp_path, rows):
+    docs = list(array_items(60))
+    (tmp_path / "in.json").write_text(json.dumps(docs, indent=1, ensure_ascii=False), encoding="utf-8")
+    (tmp_path / "two.json").write_text(json.dumps(docs[:9]))
+    one = rows(files.nested_json(spark, str(tmp_path), ITEM))
+    with setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "3"):
+        many = files.array_json(spark, str(tmp_path), ITEM)
+        assert rows(many) == one
+        with setting(spark, "spark.sql.files.maxPartitionBytes", "900"), setting(spark, "spark.sql.files.openCostInBytes", "0"):
+            assert rows(files.array_json(spark, str(tmp_path), ITEM)) == one
+    # The first of the united parts is that of files in one range.
+    text = many._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text[text.index("Union") : text.index("Scan text")]
+
+
 @pytest.mark.parametrize("text", ['[{"id": 1}, {"id": 2', '[{"id": 1}', '[{"id": 1},', '{"id": 1}', '[{"id": 1}] {"id": 2}', '[{"id": 1}, 5]', "[1, 2]", '[{"id": 1}]]', '[{"id": "x}]'])
 def test_a_file_that_is_no_array_of_objects_is_refused(spark, tmp_path, text):
     (tmp_path / "in.json").write_text(text)
