@@ -9,6 +9,8 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from cases import documents, empty, prose, texts_of, with_clashes
 from martloom.llm import grouped_prefix, induced, kd_shards, packing, pairwise_quality, prefix_join, sentencepiece_backend, suffix_dedup
 from martloom.llm.frames import ROW
@@ -312,6 +314,24 @@ def test_classifier_takes_every_row(spark):
     assert pairwise_quality.chosen_documents(docs, labels).columns == docs.columns
 
 
+def test_every_labelled_document_is_learned_from(spark):
+    labels = spark.range(24_000).select(F.col("id").alias("doc_id"), (F.col("id") % 3 > 0).cast("int").alias("quality"))
+    texts = F.when(F.col("id") % 3 > 0, F.concat(F.lit("good words "), F.hex("id"))).otherwise(F.concat(F.lit("#### $$ "), F.col("id")))
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), texts.alias("text"))
+    rows, names = pairwise_quality._labelled(docs, labels)
+    chosen = sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(24_000))
+    assert rows.count() == chosen
+    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    assert pairwise_quality._differences(rows, counts, 4).count() == 4 * max(counts.values())
+    # The table gives what the same rows give in memory.
+    ordered = rows.orderBy("at").collect()
+    x, y = np.array([r["x"] for r in ordered]), np.array([r["label"] for r in ordered])
+    one, two = pairwise_quality.fit(x, y, names, 0.3), pairwise_quality.learned(docs, labels)
+    assert np.allclose(one.weights, two.weights, atol=1e-6) and abs(one.cut - two.cut) < 1e-5
+    few = spark.createDataFrame([(i, int(i % 7 == 0)) for i in range(40)], "doc_id long, quality int")
+    assert pairwise_quality.learned(docs, few).weights.any()
+
+
 def test_newton_finds_the_order_of_strengths():
     rng = np.random.default_rng(4)
     x = rng.standard_normal((600, 3))
