@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.llm.frames import stored
+from martloom.llm.frames import setting, stored
 
 NEIGHBOURS = 24
 TABLES = 4
@@ -43,6 +43,8 @@ BEAM = 224
 EXPANDED = 64
 #: Nearest nodes of a query's block, in each order, from which its walk starts too.
 ENTRIES = 4
+#: Rows of a node beside a neighbour's neighbours that a task compares, and gets, at once.
+PART = 512
 #: Rounds and steps after which a loop that has not ended is an error.
 ROUNDS = 100
 STEPS = 1000
@@ -148,13 +150,18 @@ def _adjacency(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
+def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches a few rows long: a row holds the vectors of all neighbours, which are compared in double precision."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, PART):
+            yield batch.slice(start, PART)
+
+
 def _met(rows: DataFrame) -> DataFrame:
     """Candidate edges u, v, sim from rows of a node u beside a neighbour's neighbours: those near enough for a side."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in parts(batches):
             ws, counts = _lists(batch.column("ws"))
             owner = np.repeat(np.arange(batch.num_rows), counts)
             vec = _lists(batch.column("vec"))[0].reshape(batch.num_rows, -1)
@@ -194,9 +201,7 @@ def _scored(rows: DataFrame) -> DataFrame:
     """q, node and sim of the neighbours ``ws`` beside a query: the inner product of the vectors as given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in parts(batches):
             ws, counts = _lists(batch.column("ws"))
             owner = np.repeat(np.arange(batch.num_rows), counts)
             vec = _lists(batch.column("vec"))[0].reshape(batch.num_rows, -1).astype(np.float64)
@@ -243,7 +248,8 @@ def searched(vectors: DataFrame, is_query: Column, top: int = 20, key: str = "ve
     asked = vectors.filter(is_query).select(F.col(key).alias("query_id"), F.col(vector).cast("array<float>").alias("vec"))
     asked = stored(asked.join(nodes.select("vec", F.col("node").alias("q")), "vec").select("query_id", "q").distinct(), "ann-asked")
     starts = asked.select("q").distinct()
-    near = walked(graph(nodes), nodes, starts, entered(nodes, starts))
+    with setting(vectors.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", str(PART)):
+        near = walked(graph(nodes), nodes, starts, entered(nodes, starts))
     members = near.join(nodes.select("node", "ids"), "node").select("q", "sim", F.explode("ids").alias("id"))
     ranked = members.withColumn("place", F.row_number().over(nearest_first("q", "id"))).filter(F.col("place") <= top + 1)
     answers = asked.join(ranked, "q").filter("id <> query_id")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,3 +86,11 @@ def test_one_longer_vector_does_not_remove_the_others(spark):
     with pytest.warns(UserWarning, match="1 of 5 vectors"):
         nodes = nn_descent.graph_nodes(spark.createDataFrame(rows, SHAPE), "vec_id", "embedding", 20)
     assert sorted(r["ids"] for r in nodes.collect()) == [[0], [1], [2], [3]]
+
+
+def test_few_rows_are_compared_at_once():
+    batch = pa.RecordBatch.from_pydict({"ws": [[i, i + 1] for i in range(1300)]})
+    found = list(nn_descent.parts(iter([batch, batch.slice(0, 0)])))
+    assert [b.num_rows for b in found] == [512, 512, 276]
+    values, counts = nn_descent._lists(found[2].column("ws"))
+    assert values[0] == 1024 and len(values) == counts.sum() == 552
