@@ -147,15 +147,19 @@ def _crossing_pairs(index: DataFrame, nodes: DataFrame, roots: DataFrame, percen
 
 def linked(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of each document."""
-    rows = stored(_prefixed(docs, bucket_counts(docs, words), percent, words), "prefix-rows")
-    same = [F.first(c).alias(c) for c in ("n", "g1", "g2", "prefix", "odd")]
-    equal = rows.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), *same)
-    equal = stored(equal.withColumn("node", F.monotonically_increasing_id()), "prefix-sets")
+    found = _prefixed(docs, bucket_counts(docs, words), percent, words)
+    rows = stored(found.withColumn("row", F.monotonically_increasing_id()), "prefix-rows")
+    # A set's node is its first row, where its prefix stays; only heads of groups have theirs read.
+    rows = rows.withColumn("first", F.try_element_at("prefix", F.lit(1)))
+    same = [F.first(c).alias(c) for c in ("n", "g1", "g2", "first")] + [F.first(F.col("odd")[i]).alias(f"odd{i}") for i in range(BINS // 64)]
+    equal = rows.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.min("row").alias("node"), *same)
+    odd = F.array(*[f"odd{i}" for i in range(BINS // 64)]).alias("odd")
+    equal = stored(equal.select("node", "rep", "d1", "d2", "n", "g1", "g2", "first", odd), "prefix-sets")
     heads = equal.groupBy("g1", "g2").agg(F.min("node").alias("head"))
-    nodes = equal.join(heads, ["g1", "g2"]).select("node", "head", "rep", "d1", "d2", "n", "odd", F.col("prefix")[0].alias("first"))
-    nodes = stored(nodes, "prefix-nodes")
+    nodes = stored(equal.join(heads, ["g1", "g2"]).select("node", "head", "rep", "d1", "d2", "n", "odd", "first"), "prefix-nodes")
 
-    entries = equal.join(heads, F.col("node") == F.col("head"), "left_semi").select(F.col("node").alias("head"), "n", F.posexplode("prefix").alias("at", "token"))
+    entries = rows.select(F.col("row").alias("head"), "n", "prefix").join(heads.select("head"), "head", "left_semi")
+    entries = entries.select("head", "n", F.posexplode("prefix").alias("at", "token"))
     several = entries.groupBy("token").agg(F.min("head").alias("least"), F.max("head").alias("most")).filter("least < most")
     index = stored(entries.join(several.select("token"), "token").select("token", "head", "n", "at"), "prefix-index")
 
