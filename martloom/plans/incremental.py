@@ -126,14 +126,15 @@ def merge(wh: Warehouse, source: Source, batch_id: str, run_ts: datetime) -> Mer
     known = now.read(raw_table, raw_schema, hit, home=True)
     winners = fold_latest(known, at_home(arrived, homes, key), key, spec.staged_field, ["batch_id", "id"], MERGED)
     wh.write_version(winners, raw_table, version, F.col(HOME))
-    changed = wh.read_version(raw_table, version, raw_schema).where(MERGED)
+    # A winner lies in the slice it is at home in, so what is made of it needs no look-up.
+    changed = wh.read_version(raw_table, version, f"{raw_schema}, slice INT").where(MERGED).withColumnRenamed("slice", HOME)
 
-    rows, rejected = at_home(source.rows(changed), homes, key), None
+    rows, rejected = source.rows(changed), None
     if source.accepted is not None:
         rows, rejected = split_rejects(rows, source.accepted())
 
     def write_child(child: Child) -> None:
-        stamped = at_home(child.rows(changed), homes, key).withColumn("loaded_at", moment(run_ts))
+        stamped = child.rows(changed).withColumn("loaded_at", moment(run_ts))
         children = replace_children(now.read(child.table, child.schema, hit, home=True), changed, stamped, key)
         wh.write_version(children, child.table, version, F.col(HOME))
 

@@ -12,6 +12,7 @@ from martloom.functions.documents import array_length, blank_to_null, iso_timest
 from martloom.functions.times import elapsed_hours, elapsed_seconds
 from martloom.operators.quality import Rule, not_null
 from martloom.operators.shred import ordered_items
+from martloom.sinks.warehouse import HOME
 from martloom.sources.documents import SourceSpec
 
 # Ticket states.
@@ -50,6 +51,11 @@ TICKET_MESSAGES = (
 )
 
 
+def home_of(raw: DataFrame) -> list[str]:
+    """The column with the home of a row, where a frame has one: it stays beside what is made of the row."""
+    return [HOME] if HOME in raw.columns else []
+
+
 def parsed(raw: DataFrame, key: str, schema: str) -> DataFrame:
     """Documents with their parsed form in ``doc``.
 
@@ -57,7 +63,7 @@ def parsed(raw: DataFrame, key: str, schema: str) -> DataFrame:
     where otherwise it would be pushed down together with a second ``from_json``.
     """
     doc = F.struct(parse_document("source_doc", schema).alias("doc"))
-    return raw.select(key, "source_doc", F.inline(F.array(doc)))
+    return raw.select(key, "source_doc", *home_of(raw), F.inline(F.array(doc)))
 
 
 def sessions(raw: DataFrame) -> DataFrame:
@@ -71,15 +77,16 @@ def sessions(raw: DataFrame) -> DataFrame:
         elapsed_seconds(F.col("start_time"), F.col("end_time")).alias("session_duration_seconds"),
         *[F.col(f"doc.device.{f}").alias(f"device_{f}") for f in ("type", "os", "browser")],
         *[array_length(F.col(f"doc.{f}")).alias(f"{f}_count") for f in ("pages_visited", "actions")],
+        *home_of(raw),
     )
 
 
 def session_pages(raw: DataFrame) -> DataFrame:
-    return ordered_items(parsed(raw, "session_id", SESSION_DOC), "doc.pages_visited", ["session_id"], "page_order", "page_url")
+    return ordered_items(parsed(raw, "session_id", SESSION_DOC), "doc.pages_visited", ["session_id", *home_of(raw)], "page_order", "page_url")
 
 
 def session_actions(raw: DataFrame) -> DataFrame:
-    return ordered_items(parsed(raw, "session_id", SESSION_DOC), "doc.actions", ["session_id"], "action_order", "action_name")
+    return ordered_items(parsed(raw, "session_id", SESSION_DOC), "doc.actions", ["session_id", *home_of(raw)], "action_order", "action_name")
 
 
 def events(raw: DataFrame) -> DataFrame:
@@ -91,6 +98,7 @@ def events(raw: DataFrame) -> DataFrame:
         F.col("doc.details.page").alias("detail_page"),
         F.col("doc.details.product_id").alias("detail_product_id"),
         sub_document("source_doc", "$.details").alias("source_details"),
+        *home_of(raw),
     )
 
 
@@ -116,17 +124,19 @@ def tickets(raw: DataFrame) -> DataFrame:
         resolution_hours(status, F.col("created_at"), F.col("updated_at")).alias("resolution_time_hours"),
         array_length(F.col("doc.messages")).alias("message_count"),
         is_open(status).alias("is_open"),
+        *home_of(raw),
     )
 
 
 def ticket_messages(raw: DataFrame) -> DataFrame:
-    items = ordered_items(parsed(raw, "ticket_id", TICKET_DOC), "doc.messages", ["ticket_id"], "message_order", "item")
+    items = ordered_items(parsed(raw, "ticket_id", TICKET_DOC), "doc.messages", ["ticket_id", *home_of(raw)], "message_order", "item")
     return items.select(
         "ticket_id",
         "message_order",
         F.col("item.sender").alias("sender"),
         F.col("item.message_text").alias("message_text"),
         iso_timestamp(F.col("item.message_timestamp")).alias("message_timestamp"),
+        *home_of(raw),
     )
 
 

@@ -338,3 +338,12 @@ def test_unreadable_texts_are_counted(spark, rows):
 def test_tolerant_typing_gives_null_for_bad_text(spark):
     raw = spark.createDataFrame([("x", "1", "in"), ("1-1-2024 1:00", "warm", "in")], "noted_date string, temp string, out_in string")
     assert [tuple(r)[-2:] for r in temperature.typed_readings(raw, strict=False).collect()] == [(None, 1.0), (date(2024, 1, 1), None)]
+
+
+def test_what_is_made_of_a_winner_keeps_its_home(spark):
+    docs = {"user_sessions": '{"pages_visited": ["a"], "actions": ["b"]}', "event_logs": "{}", "support_tickets": '{"messages": [{"sender": "x"}]}'}
+    for name, source in SOURCES.items():
+        raw = spark.createDataFrame([("k", docs[name], 7)], f"{source.key} string, source_doc string, home int")
+        for made in (source.rows, *[child.rows for child in source.children]):
+            assert [r.home for r in made(raw).collect()] == [7]
+            assert "home" not in made(raw.drop("home")).columns
