@@ -42,9 +42,13 @@ def json_elements(spark: SparkSession, path: str | list[str], strict: bool = Tru
     Another element that is no object fails it if strict; otherwise it and the object behind it give one null text.
     """
     file, start, length, size = (F.col(f"_metadata.{c}") for c in ("file_path", "file_block_start", "file_block_length", "file_size"))
-    spots = (file.alias("file"), start.alias("range"), (length < size).alias("split"))
-    pieces = spark.read.option("lineSep", "}").text(path).select(*spots, "value")
-    alone, several = pieces.where("NOT split").drop("split"), pieces.where("split").drop("split")
+    # A file no longer than this is never split. By the size alone, such files are left out before they are opened.
+    conf = spark._jsparkSession.sessionState().conf()
+    least = min(conf.filesMaxPartitionBytes(), conf.filesOpenCostInBytes())
+    spots = (file.alias("file"), start.alias("range"))
+    pieces = spark.read.option("lineSep", "}").text(path)
+    alone = pieces.where((length >= size) | (size <= least)).select(*spots, "value")
+    several = pieces.where((size > least) & (length < size)).select(*spots, "value")
     earlier = Window.partitionBy("file").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
 
     def before(column: Column) -> Column:

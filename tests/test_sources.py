@@ -283,6 +283,17 @@ def test_station_files_are_compressed(spark, tmp_path, rows):
     assert found and all(name.endswith(".json.gz") for name in found)
 
 
+def test_station_arrays_are_compressed(spark, tmp_path, rows):
+    at = datetime(2024, 1, 2)
+    lines = [(400 * i, 1, 2, 3, "N", at, 50.0, 10.0, 0.09, 0.01) for i in range(5)]
+    spark.createDataFrame(lines, ", ".join(f"{c} {t}" for c, t in zip(inputs.LINE, ["long"] * 4 + ["string", "timestamp_ntz"] + ["double"] * 4))).write.parquet(str(tmp_path / "lineitem.parquet"))
+    readings = REGISTRY["station_arrays"].build(spark, str(tmp_path))
+    work = readings.inputFiles()[0].rsplit("/", 2)[0]
+    found = [r.path for r in spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{work}/json").select("path").collect()]
+    assert len(found) == 2 and all(name.endswith(".gz") for name in found)
+    assert rows(readings, "station_id").count(("1600-1-2-3",)) == 4 and readings.count() == 20
+
+
 @pytest.mark.parametrize("size", ["64", "700", "1000000"])
 def test_an_array_file_is_read_by_many_tasks(spark, tmp_path, rows, size):
     docs = list(array_items(150))
