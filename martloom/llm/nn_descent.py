@@ -8,13 +8,13 @@ Equal vectors are one node of the graph, which knows its smallest ``top + 1`` id
 graph starts from blocks of rows that lie together under several orders by random hyperplanes; the rows are sorted by
 range over all tasks and cut into blocks of fixed size, so no bucket can be overfull. Then rounds of Spark joins look at
 neighbours of neighbours: each node meets the neighbours of its neighbours, either side keeps what is nearer than
-its farthest neighbour. The reverse of every edge takes part, so no node's followers need to be gathered. Rounds end when
-few edges change.
+its farthest neighbour. Behind an edge of an earlier round only fresh edges are followed, as all others were. The reverse of every
+edge takes part, so no node's followers need to be gathered. Rounds end when few edges change.
 
 Queries walk the graph from their own node and from the nearest nodes of their blocks under orders that the graph did
 not start from: each step expands the nearest nodes not yet expanded and keeps the nearest ``beam`` found, until these
-are all expanded. Both loops end by themselves; one that reaches its bound raises. A step is a join with the graph; a popular node is a hot join key,
-which adaptive execution splits. Every step is written to the shared folder. Nothing but counts reaches the driver.
+are all expanded. Both loops end by themselves; one that reaches its bound raises. A step is a join with the graph, of ids alone; what is new
+to a query gets its vector then. A popular node is a hot join key, which adaptive execution splits. Every step is written to the shared folder. Nothing but counts reaches the driver.
 
 Vectors that are null, zero, or hold null or non-finite components take no part. Nor do those of another length than most
 have (the greater of two as common); a warning tells their number.
@@ -135,21 +135,33 @@ def _nearest(edges: DataFrame, k: int) -> DataFrame:
 
 
 def _adjacency(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """v, its neighbours' ids, vectors and added components, and per neighbour its farthest similarity."""
+    """v, its neighbours' ids, vectors and added components, and per neighbour its farthest similarity; the first ``n_new`` edges are fresh."""
     far = edges.groupBy("u").agg(F.min("sim").alias("far"))
     known = nodes.select(F.col("node").alias("v"), "vec", "long").join(far.withColumnRenamed("u", "v"), "v", "left")
-    item = F.struct("v", "vec", "long", F.coalesce("far", F.lit(float("-inf"))).alias("far"), "fresh")
-    grouped = edges.join(known, "v").groupBy("u").agg(F.collect_list(item).alias("items"))
+    item = F.struct("v", "vec", "long", F.coalesce("far", F.lit(float("-inf"))).alias("far"))
+    kinds = [F.collect_list(F.when(kind, item)).alias(name) for name, kind in (("new", F.col("fresh")), ("old", ~F.col("fresh")))]
+    grouped = edges.join(known, "v").groupBy("u").agg(*kinds)
+    grouped = grouped.select("u", F.size("new").alias("n_new"), F.concat("new", "old").alias("items"))
     return grouped.select(
         F.col("u").alias("v"),
+        "n_new",
         F.col("items.v").alias("ws"),
         F.flatten("items.vec").alias("vecs"),
         F.col("items.long").alias("longs"),
         F.col("items.far").alias("fars"),
-        F.col("items.fresh").alias("news"),
     )
 
 
+def _beside(own: DataFrame, around: DataFrame) -> DataFrame:
+    """Rows of a node u beside those of a neighbour's neighbours that it has not met: behind an old edge, the fresh ones alone."""
+
+    def unmet(column: str, width: Column) -> Column:
+        return F.when(F.col("fresh"), F.col(column)).otherwise(F.slice(column, F.lit(1), F.col("n_new") * width)).alias(column)
+
+    lists = [unmet(c, F.size("vec") if c == "vecs" else F.lit(1)) for c in ("ws", "vecs", "longs", "fars")]
+    return own.join(around, "v").filter("fresh OR n_new > 0").select("u", "vec", "long", "far", *lists)
+
+
 def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches a few rows long: a row holds the vectors of all neighbours, which are compared in double precision."""
     for batch in batches:
@@ -166,12 +178,11 @@ def _met(rows: DataFrame) -> DataFrame:
             owner = np.repeat(np.arange(batch.num_rows), counts)
             vec = _lists(batch.column("vec"))[0].reshape(batch.num_rows, -1)
             vecs = _lists(batch.column("vecs"))[0].reshape(len(ws), -1)
-            number = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in ("u", "long", "far", "fresh")}
-            longs, fars, news = (_lists(batch.column(n))[0] for n in ("longs", "fars", "news"))
+            number = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in ("u", "long", "far")}
+            longs, fars = (_lists(batch.column(n))[0] for n in ("longs", "fars"))
             sims = np.einsum("ij,ij->i", vec[owner].astype(np.float64), vecs.astype(np.float64)) + number["long"][owner] * longs
             u = number["u"][owner]
-            live = (u != ws) & (number["fresh"][owner].astype(bool) | news.astype(bool))
-            one, two = live & (sims > number["far"][owner]), live & (sims > fars)
+            one, two = (u != ws) & (sims > number["far"][owner]), (u != ws) & (sims > fars)
             u, v = np.concatenate([u[one], ws[two]]), np.concatenate([ws[one], u[two]])
             sims = np.concatenate([sims[one], sims[two]])
             frame = pd.DataFrame({"u": u, "v": v, "sim": sims}).drop_duplicates(["u", "v"])
@@ -189,7 +200,7 @@ def graph(nodes: DataFrame, k: int = NEIGHBOURS, tables: int = TABLES, block: in
         around = _adjacency(edges, nodes)
         far = edges.groupBy("u").agg(F.min("sim").alias("far"))
         own = edges.select("u", "v", "fresh").join(nodes.select(F.col("node").alias("u"), "vec", "long").join(far, "u"), "u")
-        met = _met(own.join(around, "v").select("u", "vec", "long", "far", "fresh", "ws", "vecs", "longs", "fars", "news"))
+        met = _met(_beside(own, around))
         seen = edges.withColumn("fresh", F.lit(False))
         edges = stored(_nearest(seen.union(met.withColumn("fresh", F.lit(True))), k), "ann-edges")
         if edges.filter("fresh").count() <= SETTLED * total:
@@ -197,19 +208,16 @@ def graph(nodes: DataFrame, k: int = NEIGHBOURS, tables: int = TABLES, block: in
     raise RuntimeError(f"edges still change after {rounds} rounds")
 
 
-def _scored(rows: DataFrame) -> DataFrame:
-    """q, node and sim of the neighbours ``ws`` beside a query: the inner product of the vectors as given."""
+def _scored(pairs: DataFrame, queries: DataFrame, vecs: DataFrame) -> DataFrame:
+    """q, node and sim of pairs of a query and a node: the inner product of the vectors as given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches):
-            ws, counts = _lists(batch.column("ws"))
-            owner = np.repeat(np.arange(batch.num_rows), counts)
-            vec = _lists(batch.column("vec"))[0].reshape(batch.num_rows, -1).astype(np.float64)
-            vecs = _lists(batch.column("vecs"))[0].reshape(len(ws), -1).astype(np.float64)
-            sims = np.einsum("ij,ij->i", vec[owner], vecs)
-            frame = pd.DataFrame({"q": batch.column("q").to_numpy()[owner], "node": ws, "sim": sims})
-            yield pa.RecordBatch.from_pandas(frame.drop_duplicates(["q", "node"]), preserve_index=False)
+            one, two = (_lists(batch.column(c))[0].reshape(batch.num_rows, -1).astype(np.float64) for c in ("vec", "other"))
+            columns = [batch.column("q"), batch.column("node"), pa.array(np.einsum("ij,ij->i", one, two))]
+            yield pa.RecordBatch.from_arrays(columns, ["q", "node", "sim"])
 
+    rows = pairs.join(vecs, "node").join(queries, "q").select("q", "node", "vec", "other")
     return rows.mapInArrow(run, "q long, node long, sim double")
 
 
@@ -221,20 +229,22 @@ def entered(nodes: DataFrame, starts: DataFrame, k: int = ENTRIES, tables: int =
 
 def walked(edges: DataFrame, nodes: DataFrame, starts: DataFrame, entries: DataFrame, beam: int = BEAM, steps: int = STEPS) -> DataFrame:
     """q, node and sim: the nearest nodes that greedy search finds for the nodes ``starts`` (q), also from ``entries``."""
-    around = stored(_adjacency(edges, nodes).select("v", "ws", "vecs"), "ann-around")
+    around = stored(edges.groupBy(F.col("u").alias("v")).agg(F.collect_list("v").alias("ws")), "ann-around")
     queries = stored(starts.join(nodes.select(F.col("node").alias("q"), "vec"), "q"), "ann-queries")
     square = F.aggregate("vec", F.lit(0.0).cast("double"), lambda s, x: s + x.cast("double") * x)
     own = queries.select("q", F.col("q").alias("node"), square.alias("sim"))
-    vecs = nodes.select("node", F.col("vec").alias("vecs"))
-    others = entries.filter("q <> node").join(queries, "q").join(vecs, "node").select("q", "vec", F.array("node").alias("ws"), "vecs")
-    state = stored(own.union(_scored(others)).withColumn("done", F.lit(False)), "ann-state")
+    vecs = nodes.select("node", F.col("vec").alias("other"))
+    others = _scored(entries.filter("q <> node").select("q", "node").distinct(), queries, vecs)
+    state = stored(own.union(others).withColumn("done", F.lit(False)), "ann-state")
     for _ in range(steps):
         place = F.row_number().over(Window.partitionBy("q").orderBy("done", F.col("sim").desc(), "node"))
         marked = state.withColumn("next", ~F.col("done") & (place <= EXPANDED))
         frontier = marked.filter("next").select("q", F.col("node").alias("v"))
-        found = _scored(frontier.join(queries, "q").join(around, "v").select("q", "vec", "ws", "vecs"))
+        # Ids alone tell what is new to a query; only those pairs get vectors.
+        met = frontier.join(around, "v").select("q", F.explode("ws").alias("node")).distinct()
+        found = _scored(met.join(state.select("q", "node"), ["q", "node"], "left_anti"), queries, vecs)
         known = marked.select("q", "node", "sim", (F.col("done") | F.col("next")).alias("done"))
-        both = known.union(found.withColumn("done", F.lit(False))).groupBy("q", "node").agg(F.max("sim").alias("sim"), F.max("done").alias("done"))
+        both = known.union(found.withColumn("done", F.lit(False)))
         nearest = both.withColumn("place", F.row_number().over(nearest_first("q", "node"))).filter(F.col("place") <= beam)
         state = stored(nearest.drop("place"), "ann-state")
         if state.filter("NOT done").isEmpty():

@@ -81,6 +81,33 @@ def test_walk_goes_on_until_all_is_expanded(spark):
         nn_descent.walked(edges, nodes, starts, entries, steps=3)
 
 
+def test_only_what_has_not_met_is_compared(spark):
+    nodes = spark.createDataFrame([(i, [float(i), 1.0], 0.5) for i in range(5)], "node long, vec array<float>, long double")
+    edges = spark.createDataFrame([(1, 2, 1.0, False), (1, 3, 2.0, True), (4, 2, 1.0, False)], "u long, v long, sim double, fresh boolean")
+    own = spark.createDataFrame([(0, 1, False), (2, 1, True), (0, 4, False)], "u long, v long, fresh boolean")
+    own = own.join(nodes.selectExpr("node AS u", "vec", "long"), "u").withColumn("far", F.lit(0.0))
+    found = {r["u"]: r for r in nn_descent._beside(own, nn_descent._adjacency(edges, nodes)).collect()}
+    assert found[0]["ws"] == [3] and found[0]["vecs"] == [3.0, 1.0] and len(found[0]["longs"]) == len(found[0]["fars"]) == 1
+    assert found[2]["ws"] == [3, 2] and found[2]["vecs"] == [3.0, 1.0, 2.0, 1.0] and len(found) == 2
+
+
+def test_a_walk_scores_a_pair_once(spark, monkeypatch):
+    seen, scored = [], nn_descent._scored
+
+    def watched(pairs, queries, vecs):
+        seen.extend((r["q"], r["node"]) for r in pairs.select("q", "node").collect())
+        return scored(pairs, queries, vecs)
+
+    monkeypatch.setattr(nn_descent, "_scored", watched)
+    nodes = spark.createDataFrame([(i, [1.0 + i, 0.0]) for i in range(6)], "node long, vec array<float>")
+    ring = [(i, (i + d) % 6, 1.0, False) for i in range(6) for d in (1, 2)]
+    edges = spark.createDataFrame(ring, "u long, v long, sim double, fresh boolean")
+    starts = spark.createDataFrame([(0,), (3,)], "q long")
+    found = nn_descent.walked(edges, nodes, starts, spark.createDataFrame([(0, 5)], "q long, node long")).collect()
+    assert {(r["q"], r["node"]): r["sim"] for r in found} == {(q, i): (1.0 + q) * (1 + i) for q in (0, 3) for i in range(6)}
+    assert sorted(seen) == sorted((q, i) for q in (0, 3) for i in range(6) if i != q)
+
+
 def test_one_longer_vector_does_not_remove_the_others(spark):
     rows = [(i, [1.0 + i, 2.0], 0, "", "") for i in range(4)] + [(9, [1.0, 2.0, 3.0], 0, "", "")]
     with pytest.warns(UserWarning, match="1 of 5 vectors"):
